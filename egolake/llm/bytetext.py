@@ -83,9 +83,12 @@ def lower_ascii(raw: np.ndarray) -> np.ndarray:
     return np.where((raw >= 65) & (raw <= 90), raw + 32, raw).astype(np.uint8)
 
 
-def word_spans(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte starts and ends of all words, and the index of each row's first word (n+1 values)."""
-    inside = ~SEPARATOR[raw]
+def word_spans(raw: np.ndarray, offs: np.ndarray, outside: np.ndarray = SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte starts and ends of all words, and the index of each row's first word (n+1 values).
+
+    ``outside`` marks the bytes that no word has.
+    """
+    inside = ~outside[raw]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]

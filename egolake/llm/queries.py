@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import near_dedup
+from . import near_dedup, quality, secrets, toxicity
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +17,22 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_docs(spark, sf_dir), shingle=3, num=85, den=100)
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup,)}
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every text, and whether its share of content lines retains it."""
+    return quality.quality(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated toxicity of every text."""
+    docs = _docs(spark, sf_dir).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return toxicity.toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).drop("text")
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text."""
+    return secrets.digest(_docs(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_quality_rules, op3_toxicity, op9_secret_scan)}
 
 ORACLE_SQL: dict[str, str] = {}

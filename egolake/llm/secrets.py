@@ -1,0 +1,281 @@
+"""Secret scan: fixed patterns, and tokens tagged begin, inside or outside by a chain CRF.
+
+The field uses the shape of a token, the words and signs around it and features of the whole
+text. Positions whose emission beats every other label by more than all transitions can win
+back are outside in every best path; they cut the chains, and Viterbi decodes what is left,
+which gives the same labels as decoding whole texts.
+"""
+
+from __future__ import annotations
+
+import re
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from . import crf
+from .bytetext import chunks, lower_ascii, prefix_sums, spans_hash, word_spans, _BYTE
+from .work import python_ready
+
+# The base patterns, on UTF-8 bytes, with the least length of what they find.
+ASSIGN = re.compile(rb"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
+LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 8, 16, 32
+KINDS = ("assign", "access", "hex", "crf")
+
+OUTSIDE, BEGIN, INSIDE = 0, 1, 2
+#: Documents of the corpus, by a hash of their ids, that take part in fitting.
+FIT_DOCS = 1000
+KEYWORDS = b"password passwd secret token api apikey api_key key auth authorization bearer credential credentials pwd private access".split()
+
+
+def _table(chars: str) -> np.ndarray:
+    t = np.zeros(256, bool)
+    t[[ord(c) for c in chars]] = True
+    return t
+
+
+_LOWER, _UPPER, _DIGIT = (_table("".join(map(chr, range(a, b)))) for a, b in ((97, 123), (65, 91), (48, 58)))
+_HEX = _DIGIT | _table("abcdef")
+_TOKEN = _LOWER | _UPPER | _DIGIT | _table("+/_-.@")
+_TOKEN[128:] = True
+_SET, _QUOTE, _VOWEL = _table("=:"), _table("\"'`"), _table("aeiouyAEIOUY")
+_VOWEL[128:] = True
+_KEY_HASH = np.unique(spans_hash(prefix_sums(_BYTE[np.frombuffer(b" ".join(KEYWORDS), np.uint8)]), *word_spans(np.frombuffer(b" ".join(KEYWORDS), np.uint8), np.array([0, len(b" ".join(KEYWORDS))]))[:2]))
+N_FEATURES = 24
+
+
+def base_spans(data: bytes, raw: np.ndarray, offs: np.ndarray) -> list[list[tuple[int, int, int]]]:
+    """(start, kind, end) in bytes of the chunk, for each text, in order."""
+    n = len(offs) - 1
+    out: list[list[tuple[int, int, int]]] = [[] for _ in range(n)]
+    signs = np.diff(np.concatenate([[0], np.cumsum(_SET[raw])])[offs])
+    for i in np.flatnonzero(signs):
+        for m in ASSIGN.finditer(data, offs[i], offs[i + 1]):
+            if m.end(2) - m.start(2) >= LEAST_ASSIGN:
+                out[i].append((m.start(), 0, m.end()))
+    if b"AKIA" in data:
+        for i in range(n):
+            for m in ACCESS.finditer(data, offs[i], offs[i + 1]):
+                if m.end() - m.start() >= LEAST_ACCESS:
+                    out[i].append((m.start(), 1, m.end()))
+    start, end, _ = word_spans(raw, offs, ~_HEX)
+    long = end - start >= LEAST_HEX
+    for a, b in zip(start[long].tolist(), end[long].tolist(), strict=True):
+        out[int(np.searchsorted(offs, a, "right")) - 1].append((a, 2, b))
+    return [sorted(x) for x in out]
+
+
+def token_features(raw: np.ndarray, offs: np.ndarray):
+    """Token starts, ends, bounds by text, and the features of each token."""
+    start, end, bounds = word_spans(raw, offs, ~_TOKEN)
+    n = len(start)
+    row = np.repeat(np.arange(len(offs) - 1), np.diff(bounds))
+    total = lambda t: np.concatenate([[0], np.cumsum(t, dtype=np.int32)])
+    part = lambda c: c[end] - c[start]
+    size = end - start
+    digit_at = _DIGIT[raw]
+    lower, upper, digit = part(total(_LOWER[raw])), part(total(_UPPER[raw])), part(total(digit_at))
+    hexes, vowel = part(total(_HEX[raw])), part(total(_VOWEL[raw]))
+    turns = np.zeros(len(raw) + 1, np.int32)
+    turns[1:-1] = np.cumsum(digit_at[1:] != digit_at[:-1])
+    turns[-1:] = turns[-2:-1]
+    turn = turns[np.maximum(end - 1, 0)] - turns[start] if n else size
+    signs, quotes, at_sign = total(_SET[raw]), total(_QUOTE[raw]), part(total(raw == 64))
+    dots = part(total(raw == 46))
+    before = np.where(np.arange(n) > bounds[:-1][row], np.concatenate([[0], end[:-1]]) if n else end, offs[:-1][row])
+    after = np.where(np.arange(n) + 1 < bounds[1:][row], np.concatenate([start[1:], [0]]) if n else start, offs[1:][row])
+    sign_before, quote_before = signs[start] > signs[before], quotes[start] > quotes[before]
+    sign_after, quote_after = signs[after] > signs[end], quotes[after] > quotes[end]
+    key = np.isin(spans_hash(prefix_sums(_BYTE[lower_ascii(raw)]), start, end), _KEY_HASH)
+    prev_key, next_key = np.zeros(n, bool), np.zeros(n, bool)
+    prev_key[1:], next_key[:-1] = key[:-1] & (row[1:] == row[:-1]), key[1:] & (row[1:] == row[:-1])
+    has_digit = digit > 0
+    by_row = np.maximum(np.bincount(row, minlength=len(offs) - 1), 1)
+    doc_digit = (np.bincount(row, has_digit, len(offs) - 1) / by_row)[row]
+    doc_key = (np.bincount(row, key, len(offs) - 1) > 0)[row]
+    letters = lower + upper
+    mixed = has_digit & (letters > 0)
+    f = [
+        np.ones(n), size >= 8, size >= 16, size >= 20, size >= 32, mixed & (size >= 8), mixed & (size >= 16), (lower > 0) & (upper > 0) & has_digit,
+        (hexes == size) & (size >= 16), (turn >= 4) & (size >= 12), digit == size, letters == size, (digit + dots == size) & (dots > 0), at_sign > 0,
+        (vowel * 4 < letters) & (letters > 5), key, prev_key, next_key, sign_before & prev_key, sign_before, quote_before & quote_after, sign_after, doc_digit > 0.1, doc_key,
+    ]
+    return start, end, bounds, np.stack([np.asarray(v, np.float32) for v in f], axis=1)
+
+
+def decode(emit: np.ndarray, bounds: np.ndarray, field: crf.Chain) -> np.ndarray:
+    """Labels of all tokens: Viterbi over the stretches that certain outside tokens leave."""
+    sway = 2 * (field.move.max() - field.move.min()) + field.first.max() - field.first.min()
+    open_ = emit[:, OUTSIDE] - emit[:, 1:].max(axis=1) <= sway
+    out = np.zeros(len(emit), np.int64)
+    at = np.flatnonzero(open_)
+    if not len(at):
+        return out
+    starts_text, ends_text = np.zeros(len(emit) + 1, bool), np.zeros(len(emit) + 1, bool)
+    starts_text[bounds[:-1]] = True
+    ends_text[bounds[1:] - 1] = True
+    new = np.concatenate([[True], (at[1:] != at[:-1] + 1) | starts_text[at[1:]]])
+    cut = np.concatenate([np.flatnonzero(new), [len(at)]])
+    e = emit[at].astype(float)
+    head, tail = cut[:-1], cut[1:] - 1
+    e[head] += np.where(starts_text[at[head]][:, None], field.first, field.move[OUTSIDE])
+    e[tail] += np.where(ends_text[at[tail]][:, None], 0.0, field.move[:, OUTSIDE])
+    out[at] = crf.viterbi(e, cut, crf.Chain(field.emit, field.move, np.zeros(3)))
+    return out
+
+
+def tagged_spans(start, end, bounds, label) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte spans of begin tokens with the inside tokens that follow, and their text."""
+    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    on = np.flatnonzero(label != OUTSIDE)
+    if not len(on):
+        return on, on, on
+    first = np.concatenate([[True], (on[1:] != on[:-1] + 1) | (label[on[1:]] == BEGIN) | (row[on[1:]] != row[on[:-1]])])
+    head = np.flatnonzero(first)
+    tail = np.concatenate([head[1:], [len(on)]]) - 1
+    return start[on[head]], end[on[tail]], row[on[head]]
+
+
+def _weak_labels(start, end, spans: list[tuple[int, int, int]]) -> np.ndarray:
+    """Tokens inside a found value are begin, then inside; the key of an assignment isn't."""
+    y = np.zeros(len(start), np.int64)
+    for a, kind, b in spans:
+        t = np.flatnonzero((start >= a) & (end <= b))
+        t = t[1:] if kind == 0 and len(t) > 1 else t
+        if len(t):
+            y[t] = INSIDE
+            y[t[0]] = BEGIN
+    return y
+
+
+def _made_up(n: int = 600) -> list[tuple[bytes, list[tuple[int, int, int]]]]:
+    """Invented lines with known secrets, and with codes that are none."""
+    rng = np.random.default_rng(9)
+    pick = lambda s, k: "".join(rng.choice(list(s), k))
+    low, up, num = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    word = lambda: pick(low, int(rng.integers(2, 10)))
+    out = []
+    for i in range(n):
+        words = [word() for _ in range(int(rng.integers(2, 14)))]
+        at = int(rng.integers(len(words) + 1))
+        value, lead, tail, secret = [
+            (lambda: pick("0123456789abcdef", int(rng.choice([32, 40, 64]))), ["token = \"", "key: ", ""][i // 8 % 3], ["\"", "", ""][i // 8 % 3], True),
+            (lambda: "AKIA" + pick(up + num, 16), ["", "access key "][i // 8 % 2], "", True),
+            (lambda: pick(low + up + num, int(rng.integers(20, 44))), ["secret=", "password: '", "auth "][i // 8 % 3], ["", "'", ""][i // 8 % 3], True),
+            (lambda: pick(num, 16), "", "", False),
+            (lambda: f"{word()}.{pick(num, 2)}@mail{pick(num, 1)}.example.com", "", "", False),
+            (lambda: ".".join(str(rng.integers(1, 255)) for _ in range(4)), "", "", False),
+            (lambda: "+1-" + pick(num, 3) + "-" + pick(num, 4), "", "", False),
+            (lambda: " ".join(pick(low, int(rng.integers(6, 24))) for _ in range(4)), ["the token ", "", "key "][i // 8 % 3], "", False),
+        ][i % 8]
+        v = value()
+        text = " ".join([*words[:at], ""]) + lead
+        begin = len(text.encode())
+        text = " ".join([text + v + tail, *words[at:]])
+        out.append((text.encode(), [(begin, 3, begin + len(v))] if secret else []))
+    return out
+
+
+def fitted(docs: DataFrame, limit: int = FIT_DOCS) -> crf.Chain:
+    """A field fitted on invented lines and on at most ``limit`` texts with their base spans.
+
+    Tokens further than ten from a token with a digit or a key word are left out in fitting.
+    """
+    ids = docs.where("doc_id is not null").select("doc_id").orderBy(F.xxhash64(F.col("doc_id")), "doc_id").limit(limit).distinct()
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").where("text is not null").orderBy("doc_id").collect()
+    chains = []
+    for data, spans in [*_made_up(), *((r.text.encode(), None) for r in rows)]:
+        raw = np.frombuffer(data, np.uint8)
+        offs = np.array([0, len(raw)])
+        start, end, _, x = token_features(raw, offs)
+        y = _weak_labels(start, end, base_spans(data, raw, offs)[0] if spans is None else spans)
+        near = np.zeros(len(y), bool)
+        for t in np.flatnonzero((x[:, 5] > 0) | (x[:, 10] > 0) | (x[:, 15] > 0) | (y > 0))[:40]:
+            near[max(0, t - 10) : t + 11] = True
+        near[:10] = True
+        chains.append((x[near][:400], y[near][:400]))
+    return crf.fit(chains, 3, N_FEATURES, steps=80)
+
+
+def spans_of(data: bytes, raw: np.ndarray, offs: np.ndarray, field: crf.Chain) -> list[list[tuple[int, int, int]]]:
+    """All spans of each text of a chunk: base ones, and tagged ones that touch none of them."""
+    found = base_spans(data, raw, offs)
+    start, end, bounds, x = token_features(raw, offs)
+    label = decode(x @ field.emit.astype(np.float32), bounds, field)
+    for a, b, i in zip(*(v.tolist() for v in tagged_spans(start, end, bounds, label)), strict=True):
+        if all(b <= s or a >= e for s, k, e in found[i] if k < 3):
+            found[i].append((a, 3, b))
+    return [sorted(x) for x in found]
+
+
+def secrets(docs: DataFrame, field: crf.Chain | None = None) -> DataFrame:
+    """The rows of ``docs`` with ``secrets``: array of (kind, start, end) in code points.
+
+    Ordered by start, then kind; the end is exclusive. Null and empty texts have none. Base
+    spans may overlap each other; a span of the field ("crf") touches no base span. A column
+    named secrets is replaced, others are kept; rows that repeat are separate rows.
+    """
+    return _scan(docs, field, False)
+
+
+def redacted(docs: DataFrame, mask: str = "[SECRET]", field: crf.Chain | None = None) -> DataFrame:
+    """The rows of ``docs`` with every secret (overlapping ones as one) replaced by ``mask``.
+
+    Null texts stay null. n_chars, if there, is counted anew for texts that change.
+    """
+    out = _scan(docs, field, True, mask)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(F.size("secrets") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
+
+
+def _scan(docs: DataFrame, field: crf.Chain | None, mask_text: bool, mask: str = "") -> DataFrame:
+    python_ready(docs.sparkSession)
+    field = field or fitted(docs)
+    kept = [c for c in docs.columns if c != "secrets"]
+    at_text = kept.index("text")
+    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+
+    def run(batches):
+        for batch in batches:
+            spans, texts = [], []
+            column = batch.column(at_text)
+            for at, to, raw, offs in chunks(column):
+                data = raw.tobytes()
+                points = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+                for i, found in enumerate(spans_of(data, raw, offs, field)):
+                    zero = points[offs[i]]
+                    spans.append([{"kind": KINDS[k], "start": int(points[a] - zero), "end": int(points[b] - zero)} for a, k, b in found])
+                    if mask_text:
+                        texts.append(_masked(data, offs[i], offs[i + 1], found, mask.encode()) if column[at + i].is_valid else None)
+            cols = list(batch.columns)
+            if mask_text:
+                cols[at_text] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(spans, kind)], names=[*kept, "secrets"])
+
+    schema = ", ".join(f"`{c}` {t}" for c, t in docs.select(*kept).dtypes)
+    return docs.select(*kept).mapInArrow(run, schema + ", secrets array<struct<kind:string,start:bigint,end:bigint>>")
+
+
+def _masked(data: bytes, lo: int, hi: int, spans: list[tuple[int, int, int]], mask: bytes) -> str:
+    out, at = [], lo
+    for a, _, b in spans:
+        if b <= at:
+            continue
+        if a >= at:
+            out += [data[at:a], mask]
+        at = b
+    return b"".join([*out, data[at:hi]]).decode()
+
+
+def digest(docs: DataFrame) -> DataFrame:
+    """doc_id, counts of base spans, their hash, and all spans as text."""
+    text = lambda s: F.array_join(F.transform(s, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    of = lambda k: F.size(F.filter("secrets", lambda x: x["kind"] == k)).cast("long")
+    base = F.filter("secrets", lambda x: x["kind"] != "crf")
+    found = secrets(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    return found.select("doc_id", of("assign").alias("n_assign"), of("access").alias("n_access"), of("hex").alias("n_hex"), F.sha2(text(base), 256).alias("base_sha256"), text(F.col("secrets")).alias("spans"))
