@@ -8,7 +8,8 @@ for chance collisions. What passes the estimate is confirmed on the full shingle
 Large groups: exact copies are one node. In a band bucket every member is first compared
 with one pivot (the node with most copies). Then only members that are still in another
 component than others of their bucket are compared with those, inside the join condition,
-so no pair is emitted that the estimate rejects, and no bucket is gathered in one task.
+so no pair is emitted that the estimate rejects, or that cannot share enough because of
+shingles that one of the two alone has; and no bucket is gathered in one task.
 """
 
 from __future__ import annotations
@@ -186,10 +187,19 @@ def _links(texts: DataFrame, nodes: DataFrame, shingle: int, num: int, den: int)
     state = state.select("band", "node", "pivot", F.coalesce("root", "node").alias("root"), F.coalesce("main", "pivot").alias("main"))
     state = materialize(state.withColumn("in_main", F.expr("root = main")).drop("main"), "state")
     split = state.where("not in_main").select("band").distinct()
-    state = materialize(state.join(split, "band", "left_semi").join(nodes.select("node", "n_shingles", "sig", "bands"), "node"), "split")
+    state = materialize(state.join(split, "band", "left_semi"), "split")
+    # Shingles that no other node of these has are in no intersection: they bound what a pair can share.
+    open_ = state.select("node").distinct()
+    alone = sets.join(open_, "node", "left_semi").select("node", F.explode("shingles").alias("s"))
+    alone = alone.groupBy("s").agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1").groupBy("node").agg(F.count("*").alias("alone"))
+    shared_size = F.col("n_shingles") - F.coalesce("alone", F.lit(0))
+    facts = nodes.join(open_, "node", "left_semi").join(alone, "node", "left").select("node", "n_shingles", shared_size.alias("common"), "sig", "bands")
+    state = materialize(state.join(facts, "node"), "facts")
+    most = F.least("x.common", "y.common")
+    possible = most * den >= (F.col("x.n_shingles") + F.col("y.n_shingles") - most) * num
     once = F.col("y.in_main") | (F.col("x.node") < F.col("y.node"))
     shared = F.expr("x.band = element_at(array_intersect(x.bands, y.bands), 1)")  # a pair is emitted in one bucket only
-    apart = (F.col("x.band") == F.col("y.band")) & (F.col("x.root") != F.col("y.root")) & (F.col("y.node") != F.col("x.pivot")) & once & fits("x", "y") & shared
+    apart = (F.col("x.band") == F.col("y.band")) & (F.col("x.root") != F.col("y.root")) & (F.col("y.node") != F.col("x.pivot")) & once & possible & fits("x", "y") & shared
     rest = state.where("not in_main").alias("x").join(state.alias("y"), apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     return links.unionByName(confirm(rest.distinct()))
 
