@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_dedup, quality, secrets, toxicity
+from . import mixing, near_dedup, pieces, quality, secrets, sharding, toxicity, warc
+
+#: The model file of op10, by its name in the folder of public tokenizers.
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +36,34 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(_docs(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_quality_rules, op3_toxicity, op9_secret_scan)}
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every document in the mixture of sources."""
+    docs = _docs(spark, sf_dir).select("doc_id", "source")
+    return mixing.scheduled(docs)
+
+
+def op6_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document."""
+    return sharding.sharded(_docs(spark, sf_dir).select("doc_id", "text")).drop("text")
+
+
+def op7_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, as read back from the archive."""
+    return warc.archived(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the pieces of every text and of what they decode to."""
+    return pieces.digest(_docs(spark, sf_dir), piece_model())
+
+
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(PIECE_MODEL)
+
+
+_ALL = (op1_minhash_near_dedup, op2_quality_rules, op3_toxicity, op4_mix_sources, op6_shard_documents, op7_warc_records, op9_secret_scan, op10_sentencepiece)
+QUERIES = {f.__name__: f for f in _ALL}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_shard_documents": sharding.ORACLE, "op7_warc_records": warc.ORACLE}
