@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, near_dedup, pieces, quality, secrets, sharding, toxicity, warc
+from . import jpeg, mixing, near_dedup, pieces, quality, secrets, sharding, toxicity, warc
 
 #: The model file of op10, by its name in the folder of public tokenizers.
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -42,6 +42,11 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.scheduled(docs)
 
 
+def op5_progressive_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text through a progressive JPEG and back, with a feature of its tensor."""
+    return jpeg.digest(_docs(spark, sf_dir))
+
+
 def op6_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard of every document."""
     return sharding.sharded(_docs(spark, sf_dir).select("doc_id", "text")).drop("text")
@@ -63,7 +68,7 @@ def piece_model() -> str:
     return public_tokenizers.path(PIECE_MODEL)
 
 
-_ALL = (op1_minhash_near_dedup, op2_quality_rules, op3_toxicity, op4_mix_sources, op6_shard_documents, op7_warc_records, op9_secret_scan, op10_sentencepiece)
+_ALL = (op1_minhash_near_dedup, op2_quality_rules, op3_toxicity, op4_mix_sources, op5_progressive_jpeg, op6_shard_documents, op7_warc_records, op9_secret_scan, op10_sentencepiece)
 QUERIES = {f.__name__: f for f in _ALL}
 
 ORACLE_SQL: dict[str, str] = {"op6_shard_documents": sharding.ORACLE, "op7_warc_records": warc.ORACLE}
