@@ -214,3 +214,19 @@ def _keyed(k: int):
             yield pa.RecordBatch.from_arrays([pa.array(node, pa.binary()), _longs(got)], names=["node", "shingles"])
 
     return sets
+
+
+def oracle(shingle: int, num: int, den: int) -> str:
+    """The same components in SQL, by counting the shingles that documents share."""
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + {shingle - 1}], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {shingle - 2}, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+e AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.g = b.g JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+      WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING {den} * count(*) >= {num} * (na.n + nb.n - count(*))),
+r(doc_id, root) AS (SELECT doc_id, doc_id FROM d UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.doc_id),
+c AS (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id),
+q AS (SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id FROM d JOIN c ON c.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id),
+x AS (SELECT doc_id, count(*) OVER (PARTITION BY k)::BIGINT AS n_copies FROM (SELECT doc_id, md5(string_agg(g, chr(10) ORDER BY g)) AS k FROM s GROUP BY doc_id))
+SELECT q.doc_id, q.n_shingles, q.component_id, q.doc_id = q.component_id AS kept, coalesce(x.n_copies, 1) AS n_copies FROM q LEFT JOIN x ON x.doc_id = q.doc_id
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jpeg, mixing, near_dedup, pieces, quality, secrets, sharding, toxicity, warc
+from . import jpeg, mixing, near_dedup, pieces, quality, secrets, sharding, substring_dedup, toxicity, warc
 
 #: The model file of op10, by its name in the folder of public tokenizers.
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -31,6 +31,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).drop("text")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without the passages of 50 words that an earlier document has."""
+    return substring_dedup.without_repeats(_docs(spark, sf_dir))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every text."""
     return secrets.digest(_docs(spark, sf_dir))
@@ -68,7 +73,7 @@ def piece_model() -> str:
     return public_tokenizers.path(PIECE_MODEL)
 
 
-_ALL = (op1_minhash_near_dedup, op2_quality_rules, op3_toxicity, op4_mix_sources, op5_progressive_jpeg, op6_shard_documents, op7_warc_records, op9_secret_scan, op10_sentencepiece)
+_ALL = (op1_minhash_near_dedup, op2_quality_rules, op3_toxicity, op4_mix_sources, op5_progressive_jpeg, op6_shard_documents, op7_warc_records, op8_substring_dedup, op9_secret_scan, op10_sentencepiece)
 QUERIES = {f.__name__: f for f in _ALL}
 
-ORACLE_SQL: dict[str, str] = {"op6_shard_documents": sharding.ORACLE, "op7_warc_records": warc.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op1_minhash_near_dedup": near_dedup.oracle(3, 85, 100), "op6_shard_documents": sharding.ORACLE, "op7_warc_records": warc.ORACLE, "op8_substring_dedup": substring_dedup.ORACLE}
