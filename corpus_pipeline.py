@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from egolake.llm import mixing, near_dedup, pieces, queries, secrets, toxicity
+from egolake.llm import mixing, near_dedup, pieces, queries, secret_scan, toxicity
 from egolake.llm.work import hinted, materialize
 
 #: Words of a shingle, and similarity in hundredths, at which documents are near duplicates.
@@ -36,7 +36,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced in the texts; every document stays."""
-    return secrets.redacted(docs)
+    return secret_scan.redacted(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from .bytetext import chunks, gram_starts, lower_ascii, mix, prefix_sums, spans_
 from .graph import components
 from .work import hinted, materialize, python_ready
 
-HASHES, BITS, BANDS, ROWS = 128, 4, 24, 4
+HASHES, BITS, BANDS, ROWS = 384, 4, 24, 4
 PER_LONG = 64 // BITS
 LONGS = HASHES // PER_LONG
 #: Standard deviations of the estimate that a true pair may fall below the threshold.
@@ -56,8 +56,8 @@ def shingle_sets(column, k: int):
 def minima(shingles: np.ndarray) -> np.ndarray:
     """The HASHES minima of a non-empty set, in blocks of bounded memory."""
     out = None
-    for i in range(0, len(shingles), 4096):
-        low = (shingles[i : i + 4096, None] * _A).min(axis=0)
+    for i in range(0, len(shingles), 512):
+        low = (shingles[i : i + 512, None] * _A).min(axis=0)
         out = low if out is None else np.minimum(out, low)
     return out
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jpeg, mixing, near_dedup, pieces, quality, secrets, sharding, substring_dedup, toxicity, warc
+from . import jpeg, mixing, near_dedup, pieces, quality, secret_scan, sharding, substring_dedup, toxicity, warc
 
 #: The model file of op10, by its name in the folder of public tokenizers.
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -38,7 +38,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every text."""
-    return secrets.digest(_docs(spark, sf_dir))
+    return secret_scan.digest(_docs(spark, sf_dir))
 
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
