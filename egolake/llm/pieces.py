@@ -5,6 +5,8 @@ normalised character keeps the source byte it came from. Pieces are then formed
 best score, and each piece is projected to its span of original UTF-8 bytes. Merges never
 cross a point where a word sign follows another character unless a piece of the model does,
 so texts are merged word by word, and words already seen are taken from a bounded cache.
+Where normalising a word again can't change it, new words are merged by the library, else
+by ``PieceModel.merge``.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ import hashlib
 import heapq
 import re
 import struct
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +27,7 @@ from .work import python_ready
 SIGN = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Words whose pieces a worker keeps.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 400_000
 
 
 def _fields(data: bytes):
@@ -123,8 +126,13 @@ class PieceModel:
         self.dummy, self.squeeze, self.escape = bool(normalizer.get(3, 1)), bool(normalizer.get(4, 1)), bool(normalizer.get(5, 1))
         self.user.sort(key=len, reverse=True)
         self.by_word = not any(re.search(f"[^{SIGN}]{SIGN}", p) for p in self.ids)
-        self.identity = not self.map.units and not self.user and self.dummy and not self.squeeze and self.escape and not self.suffix and self.by_word
-        self.cache: dict[str, tuple[bytes, bytes, str, int]] = {}
+        self.identity = not self.map.units and not self.user and self.dummy and not self.squeeze and self.escape and not self.suffix and self.by_word and self.byte_fallback
+        self.cache: dict[str, tuple[bytes, str]] = {}
+        # source bytes of a piece where a sign stands for one space
+        self.source_bytes = np.zeros(n, np.int64)
+        for piece, i in self.ids.items():
+            self.source_bytes[i] = len(piece.encode()) - 2 * piece.count(SIGN)
+        self.source_bytes[list(self.byte_ids.values())] = 1
 
     # normalising -----------------------------------------------------------
 
@@ -186,18 +194,22 @@ class PieceModel:
     def merge(self, word: str) -> list[str]:
         """Pieces of a normalised word: the adjacent pair of best score first, leftmost of equals."""
         parts = self._symbols(word)
-        rank = self.rank
-        if len(parts) <= 24:
-            while len(parts) > 1:
-                best, at = None, -1
-                for i in range(len(parts) - 1):
-                    r = rank.get(parts[i] + parts[i + 1])
-                    if r is not None and (best is None or r < best):
-                        best, at = r, i
-                if best is None:
+        rank, none = self.rank.get, np.inf
+        if len(parts) <= 64:
+            ranks = [rank(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
+            while ranks:
+                best = min(ranks)
+                if best == none:
                     break
-                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+                i = ranks.index(best)
+                parts[i] += parts[i + 1]
+                del parts[i + 1], ranks[i]
+                if i < len(ranks):
+                    ranks[i] = rank(parts[i] + parts[i + 1], none)
+                if i:
+                    ranks[i - 1] = rank(parts[i - 1] + parts[i], none)
             return parts
+        rank = self.rank
         nxt, prv, heap = [*range(1, len(parts)), -1], [*range(-1, len(parts) - 1)], []
 
         def offer(i: int) -> None:
@@ -244,19 +256,21 @@ class PieceModel:
 
     # encoding --------------------------------------------------------------
 
-    def _known(self, word: str) -> tuple[bytes, bytes, str, int]:
-        """Ids, source byte lengths, ids as text and count of a word that starts with a sign."""
-        got = self.cache.get(word)
-        if got is None:
-            sizes = [1 if c == SIGN else len(c.encode()) for c in word]
-            found = self.pieces(word)
-            length = [1 if j >= 0 else sum(sizes[a:b]) for _, a, b, j in found]
-            ids = [i for i, *_ in found]
-            got = np.array(ids, np.int32).tobytes(), np.array(length, np.int32).tobytes(), ",".join(map(str, ids)), len(ids)
-            if len(self.cache) >= CACHE_WORDS:
-                self.cache.clear()
-            self.cache[word] = got
-        return got
+    def _learn(self, words: set[str]) -> None:
+        """Put words that start with a sign into the cache: ids, and ids as text."""
+        new = {w for w in words if w not in self.cache}
+        if len(self.cache) + len(new) > CACHE_WORDS:
+            self.cache.clear()
+        else:
+            words = new
+        rest = [w for w in words if w.strip(SIGN)]
+        # the library puts a sign in front, so it gets the word without its first
+        got = decoder(self.path).encode([w[1:].replace(SIGN, " ") for w in rest], num_threads=1)
+        for w in words - set(rest):
+            rest.append(w)
+            got.append([i for i, *_ in self.pieces(w)])
+        for w, ids in zip(rest, got, strict=True):
+            self.cache[w] = array("i", ids).tobytes(), ",".join(map(str, ids))
 
     def _words(self, text: str) -> list[str]:
         parts = text.split(" ")
@@ -272,14 +286,39 @@ class PieceModel:
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, str]:
         """Ids, starts and ends of their spans in the text's UTF-8 bytes, and the ids as text."""
-        if text and self.identity and SIGN not in text:
-            known, got = self.cache, []
-            for w in self._words(text):
-                got.append(known.get(w) or self._known(w))
-            ids = np.frombuffer(b"".join([g[0] for g in got]), np.int32)
-            ends = np.cumsum(np.frombuffer(b"".join([g[1] for g in got]), np.int32), dtype=np.int64) - 1  # the first sign has no source
-            starts = np.concatenate([[0], ends[:-1]])
-            return ids, starts, np.maximum(ends, 0), ",".join([g[2] for g in got])
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: list[str]):
+        """``encode`` of each text, in order; words are learnt for about a million characters at once.
+
+        Where the map is empty and nothing is squeezed, a normalised text is its words with
+        signs for spaces, and a piece's source length follows from the piece.
+        """
+        at = 0
+        while at < len(texts):
+            to, size = at, 0
+            while to < len(texts) and (to == at or size + len(texts[to]) <= 1 << 20):
+                size += len(texts[to])
+                to += 1
+            words = [self._words(t) if t and self.identity and SIGN not in t else None for t in texts[at:to]]
+            unknown: set[str] = set()
+            for w in words:
+                if w:
+                    unknown.update(w)
+            self._learn(unknown)
+            known = self.cache.__getitem__
+            for t, w in zip(texts[at:to], words, strict=True):
+                if w is None:
+                    yield self._encode_any(t)
+                    continue
+                found, names = zip(*map(known, w), strict=True)
+                ids = np.frombuffer(b"".join(found), np.int32)
+                ends = np.cumsum(self.source_bytes[ids]) - 1  # the first sign has no source
+                starts = np.concatenate([[0], ends[:-1]])
+                yield ids, starts, ends, ",".join(names)
+            at = to
+
+    def _encode_any(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, str]:
         norm, source = self.normalise(text)
         ids, starts, ends, at = [], [], [], 0
         for word in re.findall(f"{SIGN}*[^{SIGN}]+|{SIGN}+", norm) if self.by_word else [norm] * bool(norm):
@@ -323,7 +362,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     def run(batches):
         m = model(path)
         for batch in batches:
-            got = [m.encode(t or "")[:3] for t in batch.column(len(kept)).to_pylist()]
+            got = [g[:3] for g in m.encode_all([t or "" for t in batch.column(len(kept)).to_pylist()])]
             size = pa.array(np.concatenate([[0], np.cumsum([len(g[0]) for g in got])]).astype(np.int32))
             cols = [pa.ListArray.from_arrays(size, pa.array(np.concatenate([g[k] for g in got]).astype(np.int32))) for k in range(3)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *cols], names=[*kept, "ids", "starts", "ends"])
@@ -341,8 +380,7 @@ def digest(docs: DataFrame, path: str) -> DataFrame:
         m, d = model(path), decoder(path)
         for batch in batches:
             n, a, b, end = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                ids, _, ends, joined = m.encode(text or "")
+            for ids, _, ends, joined in m.encode_all([t or "" for t in batch.column(1).to_pylist()]):
                 n.append(len(ids))
                 a.append(hashlib.sha256(joined.encode()).hexdigest())
                 b.append(hashlib.sha256(d.decode(ids.tolist()).encode()).hexdigest())
