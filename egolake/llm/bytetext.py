@@ -18,7 +18,7 @@ U = np.uint64
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
 #: Bytes of text that are handled at once; a longer document is a chunk of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _BASE = U(0x9E3779B97F4A7C15 | 1)
 _INVERSE = U(pow(int(_BASE), -1, 1 << 64))

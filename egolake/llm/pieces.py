@@ -27,7 +27,7 @@ from .work import python_ready
 SIGN = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Words whose pieces a worker keeps.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 
 def _fields(data: bytes):
@@ -289,7 +289,7 @@ class PieceModel:
         return next(self.encode_all([text]))
 
     def encode_all(self, texts: list[str]):
-        """``encode`` of each text, in order; words are learnt for about a million characters at once.
+        """``encode`` of each text, in order; words are learnt for about half a million characters at once.
 
         Where the map is empty and nothing is squeezed, a normalised text is its words with
         signs for spaces, and a piece's source length follows from the piece.
@@ -297,7 +297,7 @@ class PieceModel:
         at = 0
         while at < len(texts):
             to, size = at, 0
-            while to < len(texts) and (to == at or size + len(texts[to]) <= 1 << 20):
+            while to < len(texts) and (to == at or size + len(texts[to]) <= 1 << 19):
                 size += len(texts[to])
                 to += 1
             words = [self._words(t) if t and self.identity and SIGN not in t else None for t in texts[at:to]]

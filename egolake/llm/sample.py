@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Labelled documents at most, and characters of a document at most, that a model is fitted on.
-SAMPLE_DOCS, SAMPLE_CHARS = 10_000, 60_000
+SAMPLE_DOCS, SAMPLE_CHARS = 5000, 40_000
 
 
 def fold(doc_id: int) -> int:

@@ -81,7 +81,6 @@ def token_features(raw: np.ndarray, offs: np.ndarray):
     hexes, vowel = part(total(_HEX[raw])), part(total(_VOWEL[raw]))
     turns = np.zeros(len(raw) + 1, np.int32)
     turns[1:-1] = np.cumsum(digit_at[1:] != digit_at[:-1])
-    turns[-1:] = turns[-2:-1]
     turn = turns[np.maximum(end - 1, 0)] - turns[start] if n else size
     signs, quotes, at_sign = total(_SET[raw]), total(_QUOTE[raw]), part(total(raw == 64))
     dots = part(total(raw == 46))

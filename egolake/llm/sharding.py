@@ -33,7 +33,8 @@ def sharded(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
     """
     kept = [c for c in docs.columns if c not in ("n_bytes", "depth", "shard", "shard_bytes")]
     h = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long")
-    rows = docs.select(*kept, h.alias("_h"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
+    # the row itself travels as one struct, so its columns may have any names
+    rows = docs.select(F.struct(*kept).alias("row"), h.alias("_h"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     sized = rows.select("_h", "n_bytes")
     total = sized.agg(F.sum("n_bytes")).first()[0] or 0
     bits = min(HASH_BITS, SPARE_BITS + max(0, math.ceil(math.log2(max(1, total / limit)))))
@@ -58,11 +59,11 @@ def sharded(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
     parts = [rows.withColumn("cell", _prefix(b)).join(hinted(directory.where(F.col("bits") == b).drop("bits"), F.lit(64)), "cell") for b in used]
     if not parts:
         empty = rows.limit(0)
-        return empty.select(*kept, "n_bytes", F.lit(0).alias("depth"), F.lit("").alias("shard"), F.lit(0).cast("long").alias("shard_bytes"))
+        return empty.select("row.*", "n_bytes", F.lit(0).alias("depth"), F.lit("").alias("shard"), F.lit(0).cast("long").alias("shard_bytes"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select(*kept, "n_bytes", "depth", "shard", "shard_bytes")
+    return out.select(*(F.col("row").getField(c).alias(c) for c in kept), "n_bytes", "depth", "shard", "shard_bytes")
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT_BYTES) -> None:

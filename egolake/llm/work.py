@@ -17,8 +17,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows that one Arrow batch carries to Python; long texts are cut into byte-bounded chunks there.
-ARROW_ROWS = 256
+#: Rows and bytes that one Arrow batch carries to Python at most (a longer row is a batch of its own).
+ARROW_ROWS, ARROW_BYTES = 256, 4 << 20
 #: Bytes up to which a measured side of a join is broadcast; beyond it the join shuffles.
 BROADCAST_BYTES = 48 << 20
 
@@ -61,3 +61,4 @@ def python_ready(spark: SparkSession) -> None:
     if root not in have.split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join([root, *([have] if have else [])])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))

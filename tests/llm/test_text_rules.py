@@ -1,0 +1,212 @@
+import hashlib
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from egolake.llm import crf, quality, sample, secret_scan, toxicity, trees
+
+from .common import TEXTS, documents, labels
+
+
+def key(rows):
+    return sorted(rows, key=str)
+
+
+# quality -------------------------------------------------------------------
+
+
+def counts(text):
+    t = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    windows = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    covered = {i + k for i in range(len(w) - 4) if windows[tuple(w[i : i + 5])] > 1 for k in range(5)}
+    seen, dup = set(), 0
+    for line in t.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), dup, len(covered), len(w) < 10 or 100 * len(covered) > 20 * len(w)
+
+
+MORE = [(50, "a b c d e a b c d e"), (51, "x\n x\nx\n\nx\n"), (52, "# * $ % & | < > é"), (53, "l one\nl one\nl two\nl one")]
+
+
+def test_quality_counts_against_brute_force(spark):
+    rows = TEXTS + MORE
+    df = quality.quality(documents(spark, rows, ("n_words", "kept", "label", "base_failed")), labels(spark))
+    got = key((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in df.collect())
+    assert got == key((d, *counts(t)) for d, t in rows)
+    assert all(not r.kept for r in df.collect() if r.base_failed)
+
+
+def test_quality_without_rows_or_labels(spark):
+    assert quality.quality(documents(spark, []), labels(spark)).count() == 0
+    df = quality.quality(documents(spark), labels(spark, False))
+    assert all(r.kept != r.base_failed for r in df.collect())
+
+
+def test_line_field_drops_symbol_lines(spark):
+    clean = "the river runs past the old stone house and on.\nNobody saw the fox that night at all."
+    junk = "###buy $$$now %%%click |||here ***free &&&offer\n$$$win %%%cash ***now |||go ###buy &&&it"
+    rows = [(i, clean + f" {i}" if i % 2 else junk + f" $${i}") for i in range(200)]
+    lab = spark.createDataFrame([(i, i % 2, 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.kept for r in quality.quality(documents(spark, rows), lab).collect()}
+    assert all(got[i] == bool(i % 2) for i in range(200))
+
+
+def _paths(emit, field):
+    """The best path by trying all."""
+    import itertools
+
+    best = max(itertools.product(range(emit.shape[1]), repeat=len(emit)), key=lambda p: (field.first[p[0]] + sum(emit[t, y] for t, y in enumerate(p)) + sum(field.move[a, b] for a, b in zip(p, p[1:], strict=False))))
+    return list(best)
+
+
+def test_viterbi_against_all_paths():
+    rng = np.random.default_rng(1)
+    sizes = [5, 0, 1, 3, 7, 2]
+    emit = rng.normal(size=(sum(sizes), 3))
+    field = crf.Chain(np.zeros((1, 3)), rng.normal(size=(3, 3)), rng.normal(size=3))
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    got = crf.viterbi(emit, bounds, field)
+    for a, b in zip(bounds, bounds[1:], strict=False):
+        if b > a:
+            assert got[a:b].tolist() == _paths(emit[a:b], field)
+    cut = crf.Chain(field.emit, field.move, field.first)
+    wide = rng.normal(size=(4000, 3)) + np.where(rng.random(4000) < 0.7, 12.0, 0.0)[:, None] * np.array([1.0, 0, 0])
+    ends = np.array([0, 1, 1500, 1500, 4000])
+    assert (secret_scan.decode(wide, ends, cut) == crf.viterbi(wide, ends, cut)).all()
+
+
+def _likelihood(chains, field):
+    import itertools
+
+    total = 0.0
+    for x, y in chains:
+        e = x @ field.emit
+        value = lambda p: field.first[p[0]] + sum(e[t, k] for t, k in enumerate(p)) + sum(field.move[a, b] for a, b in zip(p, p[1:], strict=False))  # noqa: E731, B023
+        total += value(y.tolist()) - np.logaddexp.reduce([value(p) for p in itertools.product(range(2), repeat=len(y))])
+    return total
+
+
+def test_fit_is_the_maximum_of_the_likelihood():
+    rng = np.random.default_rng(2)
+    chains = []
+    for n in (6, 4, 5, 1, 6, 3, 5, 6, 2, 4) * 3:
+        y = np.repeat(rng.integers(0, 2, 3), 2)[:n]
+        chains.append((np.stack([np.ones(n), np.where(rng.random(n) < 0.7, y, 1 - y)], 1), y))
+    field = crf.fit(chains, 2, 2, steps=1500, l2=0.0, rate=0.03)
+    best = _likelihood(chains, field)
+    assert best > _likelihood(chains, crf.Chain(np.zeros((2, 2)), np.zeros((2, 2)), np.zeros(2))) + 5
+    for k in range(3):
+        for at in np.ndindex(field[k].shape):
+            for step in (-0.05, 0.05):
+                other = [np.array(v) for v in field]
+                other[k][at] += step
+                assert _likelihood(chains, crf.Chain(*other)) < best + 1e-3
+    assert crf.fit([], 2, 2).emit.shape == (2, 2)
+
+
+# toxicity ------------------------------------------------------------------
+
+
+def test_toxicity_holds_out_and_learns(spark):
+    from .common import prose
+
+    rows = [(i, prose(i, 60) + (" you stupid glorf and bazzik" if i % 2 else "")) for i in range(400)]
+    lab = spark.createDataFrame([(i, 1, i % 2) for i in range(400)], "doc_id long, quality int, toxic int")
+    model = toxicity.fitted(documents(spark, rows), lab)
+    df = toxicity.toxicity(documents(spark, rows, ("score", "y", "h", "held_out")), lab)
+    out = df.collect()
+    assert {r.doc_id for r in out if r.held_out} == {i for i in range(400) if sample.fold(i) == 0}
+    held = [r for r in out if r.held_out]
+    assert np.mean([r.predicted == r.doc_id % 2 for r in held]) > 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in out)
+    # the words that only toxic training texts have are in the lexicon
+    assert toxicity._weight(toxicity._hash(["glorf"]), model["words"])[0] > 0
+    flipped = spark.createDataFrame([(i, 1, 1 - i % 2 if sample.fold(i) == 0 else i % 2) for i in range(400)], "doc_id long, quality int, toxic int")
+    again = {r.doc_id: r.score for r in toxicity.toxicity(documents(spark, rows), flipped).collect()}
+    assert again == {r.doc_id: r.score for r in out}  # labels that are held out change nothing
+
+
+def test_toxicity_edge_cases(spark):
+    out = toxicity.toxicity(documents(spark, clash=("predicted",)), labels(spark)).collect()
+    assert len(out) == len(TEXTS) and all(0 <= r.score <= 1 for r in out)
+    assert len({r.score for r in out if not (r.text or "").strip()}) <= 2
+    assert toxicity.toxicity(documents(spark, []), labels(spark)).count() == 0
+    assert len({r.score for r in toxicity.toxicity(documents(spark), labels(spark, False)).collect()}) == 1
+
+
+def test_trees_and_isotonic():
+    rng = np.random.default_rng(0)
+    x = rng.random((2000, 5))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.3)).astype(float)
+    m = trees.fit(x, y, rounds=60)
+    assert ((trees.raw_score(m, x) > 0) == y).mean() > 0.97
+    assert trees.raw_score(trees.fit(x[:0], y[:0]), x[:3]).shape == (3,)
+    s, p = trees.isotonic(np.array([3.0, 1, 2, 2, 5, 4]), np.array([0.0, 0, 1, 0, 1, 1]))
+    assert (np.diff(p) >= 0).all() and (np.diff(s) >= 0).all()
+
+
+# secrets -------------------------------------------------------------------
+
+ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
+
+
+def base(t):
+    t = t or ""
+    s = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(t) if len(m.group(2)) >= 8]
+    s += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m.group()) >= 16]
+    s += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m.group()) >= 32]
+    return ",".join(f"{secret_scan.KINDS[k]}:{a}:{b}" for a, k, b in sorted(s))
+
+
+SECRETS = [
+    (70, "é Token:abcdefgh token=short secret='x' APIKEY = \"A+b/c_d.e=f-g\" api_key:12345678"), (71, "token token = tokentoken: abcdefghij"), (72, "0123456789abcdef" * 2 + "g" + "f" * 31), (73, "AKIA123 AKIAAKIAAKIAAKIA0 xAKIAABCDEFGHIJKL"),
+    (74, "paſsword = longenough1 paKey"), (75, "日本" + "a" * 40 + "日本"), (76, "password"), (77, "secret:"), (78, '"token": "abcdefgh12"'),
+]
+
+
+def test_secret_base_spans_against_regex(spark):
+    rows = TEXTS + SECRETS
+    out = secret_scan.digest(documents(spark, rows, ("secrets", "spans"))).collect()
+    want = key((d, hashlib.sha256(base(t).encode()).hexdigest(), *(base(t).count(k + ":") for k in ("assign", "access", "hex"))) for d, t in rows)
+    assert key((r.doc_id, r.base_sha256, r.n_assign, r.n_access, r.n_hex) for r in out) == want
+    for r, (d, t) in zip(sorted((r for r in out if r.doc_id is not None), key=lambda r: (r.doc_id, r.spans)), sorted(((d, t) for d, t in rows if d is not None), key=lambda x: x[0]), strict=True):
+        kept = [s for s in r.spans.split(",") if s and not s.startswith("crf")]
+        assert r.doc_id == d and ",".join(kept) == base(t)
+
+
+def test_field_finds_a_secret_without_a_pattern(spark):
+    text = "we set the auth Zk3vQ9xLm27TbRw8YpHs4Nd6 for it and 4689387053447877 or joe.12@mail3.example.com"
+    found = secret_scan.secrets(documents(spark, [(1, text), (2, "plain words only")])).orderBy("doc_id").collect()
+    spans = [(s.kind, text[s.start : s.end]) for s in found[0].secrets]
+    assert spans == [("crf", "Zk3vQ9xLm27TbRw8YpHs4Nd6")] and not found[1].secrets
+
+
+def test_redaction(spark):
+    rows = [(1, 'x token = "abcdefgh12345678" é y'), (2, None), (3, "nothing here"), (4, "token=" + "0a" * 20)]
+    out = {r.doc_id: r for r in secret_scan.redacted(documents(spark, rows)).collect()}
+    assert out[1].text == 'x [SECRET]" é y' and out[1].n_chars == len(out[1].text)
+    assert out[2].text is None and out[3].text == rows[2][1] and out[4].text == "[SECRET]"
+    assert secret_scan.secrets(documents(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("text", ["", "a", "\n", "=", "é"])
+def test_token_features_of_tiny_texts(text):
+    raw = np.frombuffer(text.encode(), np.uint8)
+    start, _, bounds, x = secret_scan.token_features(raw, np.array([0, len(raw)]))
+    assert x.shape == (len(start), secret_scan.N_FEATURES) and bounds[-1] == len(start)
+
+
+def test_word_spans_keep_texts_apart():
+    from egolake.llm.bytetext import column_bytes, word_hashes, word_spans
+
+    raw, offs = column_bytes(pa.array(["ab", "cd", None, "", " e\x0bf ", "ab"]))
+    start, end, bounds = word_spans(raw, offs)
+    words = [raw[a:b].tobytes() for a, b in zip(start, end, strict=True)]
+    assert words == [b"ab", b"cd", b"e", b"f", b"ab"] and bounds.tolist() == [0, 1, 2, 2, 2, 4, 5]
+    h = word_hashes(raw, start, end)
+    assert h[0] == h[4] and len(set(h.tolist())) == 4
