@@ -63,7 +63,7 @@ class FMIndex:
     """An index of ``sequences`` (arrays of 64-bit words), each with an owner."""
 
     def __init__(self, sequences: list[np.ndarray], owners: np.ndarray):
-        size = np.array([len(s) + 1 for s in sequences])
+        size = np.array([len(s) + 1 for s in sequences], np.int64)
         flat = np.concatenate(sequences) if sequences else np.zeros(0, np.int64)
         self.vocabulary, ids = np.unique(flat, return_inverse=True)
         ends = np.cumsum(size) - 1
@@ -106,7 +106,7 @@ class FMIndex:
         of ``least`` words that a smaller owner has lies in a reported match.
         """
         out: list[list[tuple[int, int]]] = [[] for _ in queries]
-        size = np.array([len(q) for q in queries])
+        size = np.array([len(q) for q in queries], np.int64)
         base = np.concatenate([[0], np.cumsum(size)])
         symbol = self.symbols(np.concatenate(queries)) if queries else np.zeros(0, np.int64)
         limit = np.searchsorted(self.owner_ids, owners)  # owners of smaller rank are smaller

@@ -257,7 +257,7 @@ def _ac_first(bits: _Bits, blocks, count: int, lo: int, hi: int, low: int, table
             flat[k] = v if v >> (s - 1) else v - (1 << s) + 1
             at = k + 1
             if r == 0 and guess > 1:
-                n = min(guess, end - at, (bits.size - bits.at) // step)
+                n = max(0, min(guess, end - at, (bits.size - bits.at) // step))
                 q = bits.at + step * np.arange(n)
                 w, shift = window[q >> 3], (q & 7).astype(np.uint32)
                 same = look[w >> (16 - shift) & 0xFFFF] == (step - s) << 8 | s

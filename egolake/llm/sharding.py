@@ -67,8 +67,8 @@ def sharded(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT_BYTES) -> None:
-    """Write ``docs`` as Parquet, a folder for each shard; a shard's rows come from one task."""
-    out = sharded(docs, limit).select(*docs.columns, "shard")
+    """Write ``docs`` as Parquet, a folder for each shard (b and its bits); a shard's rows come from one task."""
+    out = sharded(docs, limit).select(*docs.columns, F.concat(F.lit("b"), "shard").alias("shard"))
     out.repartition("shard").write.partitionBy("shard").parquet(path)
 
 
