@@ -22,13 +22,16 @@ def key(rows):
 def test_stages_against_brute_force(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet").select(*COLUMNS)
     stage = dict(corpus_pipeline.STAGES)
-    kept = stage["toxicity"](spark, docs, DATA)
+    more = DATA.replace("sf0.001", "sf0.01")  # labels enough to learn from
+    large = spark.read.parquet(f"{more}/documents.parquet").select(*COLUMNS)
+    kept = stage["toxicity"](spark, large, more)
     assert kept.columns == COLUMNS
     ids = {r.doc_id for r in kept.select("doc_id").collect()}
     insults = ("idiot", "moron", "worthless", "pathetic", "scum")
-    texts = {r.doc_id: r.text for r in docs.collect()}
+    texts = {r.doc_id: r.text for r in large.collect()}
     plain = {i for i, t in texts.items() if sum(t.lower().count(w) for w in insults) >= 3}
     assert not plain & ids and len(ids) > 0.8 * len(texts)
+    texts = {r.doc_id: r.text for r in docs.collect()}
 
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     single = stage["minhash_near_dedup"](spark, docs, DATA)
@@ -67,9 +70,8 @@ def test_sql(spark, name):
     con = duckdb.connect()
     for t in ("documents", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{DATA}/{t}.parquet')")
-    want = con.execute(queries.ORACLE_SQL[name]).df()
-    got = queries.QUERIES[name](spark, DATA).toPandas()
-    cols = sorted(want.columns)
-    assert sorted(got.columns) == cols
-    text = lambda df: key(tuple(None if v is None or v != v else str(v).removesuffix(".0") for v in row) for row in df[cols].values.tolist())
-    assert text(got) == text(want)
+    found = con.execute(queries.ORACLE_SQL[name])
+    cols = [c[0] for c in found.description]
+    got = queries.QUERIES[name](spark, DATA)
+    assert sorted(got.columns) == sorted(cols)
+    assert key(tuple(r[c] for c in cols) for r in got.collect()) == key(found.fetchall())
