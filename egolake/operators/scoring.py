@@ -27,13 +27,14 @@ def cluster_scores(df: DataFrame, keys: Sequence[str], keyframes: int) -> DataFr
     return df.groupBy(*keys).agg(cluster_score(keyframes).alias("score"), hits, F.count("*").alias("cluster_size"))
 
 
-def label_scores(df: DataFrame, keys: Sequence[str], keyframes: int, logit: Column, bound_keys: Sequence[str]) -> DataFrame:
+def label_scores(df: DataFrame, keys: Sequence[str], keyframes: int, logit: Column, bound_keys: Sequence[str], bounds_of: DataFrame | None = None) -> DataFrame:
     """0.50 of the 80th percentile and 0.25 of the median of scaled logits, and 0.25 of the cluster score.
 
-    Logits are scaled by their least and greatest within ``bound_keys``.
+    Logits are scaled by their least and greatest within ``bound_keys``, of ``bounds_of`` if given.
     """
+    every = bounds_of if bounds_of is not None else df
     df = df.withColumn("_logit", F.coalesce(logit, F.lit(0.0)))
-    bounds = df.groupBy(*bound_keys).agg(F.min("_logit").alias("_lo"), F.max("_logit").alias("_hi"))
+    bounds = every.withColumn("_logit", F.coalesce(logit, F.lit(0.0))).groupBy(*bound_keys).agg(F.min("_logit").alias("_lo"), F.max("_logit").alias("_hi"))
     df = df.join(bounds, list(bound_keys))
     scaled = (F.col("_logit") - F.col("_lo")) / F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1e-6))
     df = df.withColumn("_scaled", F.least(F.greatest(scaled, F.lit(0.0)), F.lit(1.0)))
