@@ -106,4 +106,6 @@ class FrameSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    """Make the source known; filters on frame_index then reach the reader."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(FrameSource)

@@ -16,30 +16,23 @@ def status_counts(frames: DataFrame, late: str = "10 minutes", window: str = "1
     return rows.groupBy(F.window("ts", window), "stage", "status").agg(F.count("*").alias("frames")).select("window.start", "window.end", "stage", "status", "frames")
 
 
-def closed_intervals(frames: DataFrame, quiet: str = "10 minutes") -> DataFrame:
-    """Intervals of consecutive rejected frames (track, frame_index, reasons), emitted when a gap
-    closes them or nothing came for ``quiet``. Frames of a track must come in order."""
-    minutes = int(quiet.split()[0]) * 60_000
+def closed_intervals(frames: DataFrame) -> DataFrame:
+    """Intervals of consecutive rejected frames (track, frame_index, reasons), emitted when a later
+    frame of the track leaves a gap. Frames of a track must come in order."""
     schema = "track bigint, start_frame bigint, end_frame bigint, reasons array<string>"
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         out, now = [], state.get if state.exists else None
-        if state.hasTimedOut:
-            if now:
-                out.append((key[0], now[0], now[1], sorted(now[2])))
-            state.remove()
-        else:
-            for b in batches:
-                for i, why in b.sort_values("frame_index")[["frame_index", "reasons"]].itertuples(index=False):
-                    if now and i == now[1] + 1:
-                        now = (now[0], int(i), sorted({*now[2], *why}))
-                    else:
-                        if now:
-                            out.append((key[0], now[0], now[1], sorted(now[2])))
-                        now = (int(i), int(i), sorted(set(why)))
-            if now:
-                state.update(now)
-                state.setTimeoutDuration(minutes)
+        for b in batches:
+            for i, why in b.sort_values("frame_index")[["frame_index", "reasons"]].itertuples(index=False):
+                if now and i == now[1] + 1:
+                    now = (now[0], int(i), sorted({*now[2], *why}))
+                else:
+                    if now:
+                        out.append((key[0], now[0], now[1], sorted(now[2])))
+                    now = (int(i), int(i), sorted(set(why)))
+        if now:
+            state.update(now)
         yield pd.DataFrame(out, columns=["track", "start_frame", "end_frame", "reasons"])
 
-    return frames.groupBy("track").applyInPandasWithState(step, schema, "start bigint, last bigint, reasons array<string>", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return frames.groupBy("track").applyInPandasWithState(step, schema, "start bigint, last bigint, reasons array<string>", "append", GroupStateTimeout.NoTimeout)

@@ -156,10 +156,10 @@ def test_anchor_consistency(spark):
 
 
 def test_selection(spark):
-    df = spark.createDataFrame([(0, 0.9, [10.0, 10, 50, 50]), (0, 0.8, [12.0, 12, 48, 48]), (0, 0.7, [80.0, 80, 120, 120])], "k int, score double, box_xyxy array<double>")
+    df = spark.createDataFrame([(0, 0.9, [10.0, 10.0, 50.0, 50.0]), (0, 0.8, [12.0, 12.0, 48.0, 48.0]), (0, 0.7, [80.0, 80.0, 120.0, 120.0])], "k int, score double, box_xyxy array<double>")
     assert sorted(x for (x,) in rows(selection.suppress_overlaps(df, ["k"], ["score"], [True], 0.7), "score")) == [0.7, 0.9]
     assert rows(selection.suppress_overlaps(df, ["k"], ["score"], [True], 0.7, limit=1), "score") == [(0.9,)]
-    det = spark.createDataFrame([(0, 0, 0, [100.0, 100, 200, 220], 0.9), (0, 1, 0, [104.0, 104, 204, 224], 0.72), (0, 1, 1, [600.0, 400, 700, 520], 0.82), (0, 40, 0, [104.0, 104, 204, 224], 0.72), (0, 40, 1, [600.0, 400, 700, 520], 0.82)], "k int, frame_index long, ordinal int, box array<double>, confidence double")
+    det = spark.createDataFrame([(0, 0, 0, [100.0, 100.0, 200.0, 220.0], 0.9), (0, 1, 0, [104.0, 104.0, 204.0, 224.0], 0.72), (0, 1, 1, [600.0, 400.0, 700.0, 520.0], 0.82), (0, 40, 0, [104.0, 104.0, 204.0, 224.0], 0.72), (0, 40, 1, [600.0, 400.0, 700.0, 520.0], 0.82)], "k int, frame_index long, ordinal int, box array<double>, confidence double")
     got = rows(folds.temporal_selection(det, ["k"], 1920, 1080).orderBy("frame_index"), "frame_index", "ordinal")
     assert got == [(0, 0), (1, 0), (40, 1)]
 
@@ -169,8 +169,8 @@ def _candidates(spark, rows_):
 
 
 def test_selectors(spark):
-    far, near = [0.0, 0, 10, 10], [50.0, 50, 60, 60]
-    c = _candidates(spark, [(0, [1.0, 0], 0.1, 0.9, far, "hammer", {"hammer": 30.0, "chisel": 1.0}), (90, [0.99, 0.05], 0.1, 0.9, far, "hammer", {"hammer": 31.0, "chisel": 1.0}), (0, [0.0, 1], 0.1, 0.8, near, "chisel", {"hammer": 18.0, "chisel": 25.0}), (90, [0.1, 0.99], 0.1, 0.8, near, "chisel", {"hammer": 18.0, "chisel": 26.0})])
+    far, near = [0.0, 0.0, 10.0, 10.0], [50.0, 50.0, 60.0, 60.0]
+    c = _candidates(spark, [(0, [1.0, 0.0], 0.1, 0.9, far, "hammer", {"hammer": 30.0, "chisel": 1.0}), (90, [0.99, 0.05], 0.1, 0.9, far, "hammer", {"hammer": 31.0, "chisel": 1.0}), (0, [0.0, 1.0], 0.1, 0.8, near, "chisel", {"hammer": 18.0, "chisel": 25.0}), (90, [0.1, 0.99], 0.1, 0.8, near, "chisel", {"hammer": 18.0, "chisel": 26.0})])
     grouped = anchors.clusters(c, 2, 0.95)
     assert sorted(rows(grouped, "node", "cluster")) == [(0, 0), (1, 0), (2, 2), (3, 2)]
     found = rows(anchors.agnostic_objects(c, 2, 8, 0.95).orderBy("object_id"), "object_id", "label", "cluster")
@@ -183,10 +183,10 @@ def test_selectors(spark):
 
 def test_hand_gates(spark):
     pts = lambda d: [[100.0 + d, 100.0], [120.0 + d, 125.0], [145.0 + d, 150.0]]
-    df = spark.createDataFrame([(pts(0), [80.0, 80, 170, 180]), (pts(500), [80.0, 80, 170, 180])], "p array<array<double>>, b array<double>")
+    df = spark.createDataFrame([(pts(0), [80.0, 80.0, 170.0, 180.0]), (pts(500), [80.0, 80.0, 170.0, 180.0])], "p array<array<double>>, b array<double>")
     assert rows(df.select(hands.projection_fits(F.col("p"), F.col("b"), 1920, 1080).alias("x")), "x") == [(True,), (False,)]
     line = [[100.0 + 5 * i, 100.0 + 5 * i] for i in range(21)]
-    df = spark.createDataFrame([(line, [[x + d, y, 1.0] for x, y in line], [90.0, 90, 210, 210]) for d in (0, 150)] + [(line, [[x, y, 0.1] for x, y in line], [90.0, 90, 210, 210])], "p array<array<double>>, k array<array<double>>, b array<double>")
+    df = spark.createDataFrame([(line, [[x + d, y, 1.0] for x, y in line], [90.0, 90.0, 210.0, 210.0]) for d in (0, 150)] + [(line, [[x, y, 0.1] for x, y in line], [90.0, 90.0, 210.0, 210.0])], "p array<array<double>>, k array<array<double>>, b array<double>")
     assert rows(df.select(hands.landmarks_fit(F.col("p"), F.col("k"), F.col("b")).alias("x")), "x") == [(True,), (False,), (False,)]
 
 
@@ -296,13 +296,11 @@ def test_live_report(spark, tmp_path):
     data = data.withColumn("ts", F.to_timestamp("t")).drop("t")
     data.coalesce(1).write.parquet(f"file://{tmp_path}/in")
     stream = spark.readStream.schema(data.schema).parquet(f"file://{tmp_path}/in")
-    q = live.status_counts(stream).writeStream.outputMode("complete").format("memory").queryName("live_counts").start()
-    q.processAllAvailable()
-    q.stop()
+    q = live.status_counts(stream).writeStream.outputMode("complete").format("memory").queryName("live_counts").trigger(availableNow=True).start()
+    assert q.awaitTermination(60)
     assert sorted(rows(spark.table("live_counts"), "status", "frames")) == [("accepted", 1), ("rejected", 2)]
-    q = live.closed_intervals(stream).writeStream.outputMode("append").format("memory").queryName("live_gaps").start()
-    q.processAllAvailable()
-    q.stop()
+    q = live.closed_intervals(stream).writeStream.outputMode("append").format("memory").queryName("live_gaps").trigger(availableNow=True).start()
+    assert q.awaitTermination(60)
     assert rows(spark.table("live_gaps"), "start_frame", "end_frame", "reasons") == [(1, 2, ["a", "b"])]
 
 
