@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sequence import first_sustained
-
 # Gates of propagated masks and of lifecycle signals.
 VIABLE_RATIO, DISAGREE_IOU, ANCHOR_IOU, PLAUSIBLE_RATIO, COMPONENT_FRACTION = 0.10, 0.30, 0.20, 0.20, 0.65
 COLLAPSE_RUN, SIGNAL_RUN, ANCHOR_REACH, STABLE_SECONDS, LEAST_MOTION = 5, 3, 60, 0.8, 1.25
@@ -42,13 +40,14 @@ def adjacent(df: DataFrame, keys: Sequence[str], columns: Sequence[str], index:
     return df
 
 
-def motion_threshold(df: DataFrame, keys: Sequence[str], motion: str = "motion") -> DataFrame:
-    """max(1.25, median + 1.5 MAD) of positive motion; infinite where there is none."""
-    positive = df.where(F.col(motion) > 0)
-    mid = positive.groupBy(*keys).agg(F.median(motion).alias("_mid"))
-    spread = positive.join(mid, list(keys)).groupBy(*keys, "_mid").agg(F.median(F.abs(F.col(motion) - F.col("_mid"))).alias("_mad"))
-    limit = spread.select(*keys, F.greatest(F.lit(LEAST_MOTION), F.col("_mid") + 1.5 * F.col("_mad")).alias("motion_threshold"))
-    return df.select(*keys).distinct().join(limit, list(keys), "left").fillna(float("inf"), ["motion_threshold"])
+def motion_threshold(keys: Sequence[str], motion: str = "motion") -> tuple[Column, Column]:
+    """Two window columns: the median of positive motion, and from a column ``_mid`` of it the
+    threshold max(1.25, median + 1.5 MAD), infinite where there is no positive motion."""
+    whole = Window.partitionBy(*keys)
+    positive = F.when(F.col(motion) > 0, F.col(motion))
+    spread = F.median(F.when(F.col(motion) > 0, F.abs(F.col(motion) - F.col("_mid")))).over(whole)
+    limit = F.greatest(F.lit(LEAST_MOTION), F.col("_mid") + 1.5 * spread)
+    return F.median(positive).over(whole), F.when(F.col("_mid").isNull(), float("inf")).otherwise(limit)
 
 
 def lifecycle_splits(df: DataFrame, keys: Sequence[str], fps: float = 30.0) -> DataFrame:
@@ -56,23 +55,28 @@ def lifecycle_splits(df: DataFrame, keys: Sequence[str], fps: float = 30.0) -> D
 
     ``df`` has an interval's rows: offset (0, 1, ...), forward_area, backward_area, left_area,
     right_area, iou and motion. Of forward collapse, disagreement of directions and
-    independent motion two must hold, the collapse among them.
+    independent motion two must hold, the collapse among them. All signals are windows over
+    one partitioning by the keys, so an interval's rows are shuffled once.
     """
-    k = list(keys)
-    limit = motion_threshold(df, keys)
+    k, whole = list(keys), Window.partitionBy(*keys)
+    mid, limit = motion_threshold(keys)
     fwd, bwd = viable(F.col("forward_area"), F.col("left_area")), viable(F.col("backward_area"), F.col("right_area"))
-    rows = df.join(limit, k).select(*k, "offset", fwd.alias("f"), bwd.alias("b"), (fwd & bwd & (F.col("iou") < DISAGREE_IOU)).alias("d"), (F.coalesce("motion", F.lit(0.0)) >= F.col("motion_threshold")).alias("m"))
-    count = rows.groupBy(*k).agg(F.max("offset").alias("last"))
-    out = count
-    for name, flag, run in (("collapse", ~F.col("f"), COLLAPSE_RUN), ("disagreement", F.col("d"), SIGNAL_RUN), ("motion_at", F.col("m"), SIGNAL_RUN)):
-        out = out.join(first_sustained(rows, keys, flag, run, "offset").withColumnRenamed("start", name), k)
-    enough = F.col("disagreement").isNotNull() | F.col("motion_at").isNotNull()
-    out = out.where(F.col("collapse").isNotNull() & enough)
+    rows = df.withColumn("_mid", mid).withColumn("motion_threshold", limit)
+    rows = rows.select(*k, "offset", "motion_threshold", fwd.alias("f"), bwd.alias("b"), (fwd & bwd & F.coalesce(F.col("iou") < DISAGREE_IOU, F.lit(False))).alias("d"), (F.coalesce("motion", F.lit(0.0)) >= F.col("motion_threshold")).alias("m"))
+
+    def starts(flag: Column, run: int) -> Column:
+        """Where a run of ``run`` true rows that ends here has begun."""
+        span = whole.orderBy("offset").rowsBetween(1 - run, 0)
+        return F.when((F.sum(flag.cast("int")).over(span) == run) & (F.count("*").over(span) == run), F.col("offset") - (run - 1))
+
+    signals = {"collapse": (~F.col("f"), COLLAPSE_RUN), "disagreement": (F.col("d"), SIGNAL_RUN), "motion_at": (F.col("m"), SIGNAL_RUN), "back": (F.col("b"), SIGNAL_RUN)}
+    for name, (flag, run) in signals.items():
+        rows = rows.withColumn(f"_{name}", starts(flag, run))
     steady = max(1, round(fps * STABLE_SECONDS))
-    out = out.withColumn("old_end", F.greatest(F.col("collapse") - 1, F.lit(0))).withColumn("candidate", F.least("last", F.col("motion_at") + steady))
-    after = rows.join(out.select(*k, "candidate"), k).where(F.col("offset") >= F.col("candidate"))
-    stable = first_sustained(after, keys, F.col("b"), SIGNAL_RUN, "offset").withColumnRenamed("start", "stable_at")
-    out = out.join(stable, k, "left").join(limit, k)
+    rows = rows.withColumn("last", F.max("offset").over(whole)).withColumn("_cand", F.least(F.col("last"), F.min("_motion_at").over(whole) + steady))
+    first = lambda c: F.min(f"_{c}").alias(c)
+    out = rows.groupBy(*k, "last", "motion_threshold").agg(first("collapse"), first("disagreement"), first("motion_at"), F.min(F.when(F.col("_back") >= F.col("_cand"), F.col("_back"))).alias("stable_at"))
+    out = out.where("collapse is not null and (disagreement is not null or motion_at is not null)").withColumn("old_end", F.greatest(F.col("collapse") - 1, F.lit(0)))
     near = F.col("last") - ANCHOR_REACH
     begin = F.when(F.col("disagreement").isNotNull(), F.col("old_end") + 1).otherwise(F.greatest(F.col("old_end") + 1, F.coalesce("stable_at", near)))
     why = F.when(F.col("disagreement").isNotNull(), "directional_disagreement").when(F.col("stable_at").isNotNull(), "post_motion_backward_stability").otherwise("anchor_proximity_fallback")
