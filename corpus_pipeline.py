@@ -45,8 +45,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every text with their spans of its UTF-8 bytes."""
-    out = pieces.encoded(docs.select("doc_id", "lang", "source", "text"), queries.piece_model())
+    """Piece ids of every text with their spans of its UTF-8 bytes, and its position in the mixture.
+
+    Files keep no order, and stages hand on the columns of ``documents`` alone, so the position
+    is computed again: it is a fixed function of the rows.
+    """
+    placed = mixing.scheduled(docs).select("doc_id", "lang", "source", "position", "text")
+    out = pieces.encoded(placed, queries.piece_model())
     return out.withColumn("n_tokens", F.size("ids").cast("long"))
 
 

@@ -4,8 +4,9 @@ import corpus_pipeline
 import duckdb
 import pytest
 from egolake.llm import mixing, queries
+from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, prose
 from .test_near_dedup import brute
 from .test_text_rules import base
 
@@ -64,6 +65,28 @@ def test_stages_on_odd_rows(spark, tmp_path):
         assert docs.count() == 0 if rows == [] else docs.count() > 8
 
 
+def test_run_keeps_the_mixture_over_part_files(spark, tmp_path):
+    sizes = {"a": 600, "b": 300, "c": 100}
+    rows = [(i, prose(i, 20), "en", s) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.length("text"))
+    docs.repartition(7).write.parquet(f"file://{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"file://{tmp_path}/labels.parquet")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "90")
+    try:
+        got = corpus_pipeline.run(spark, f"file://{tmp_path}").select("source", "position").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    block, slot_of = mixing.BLOCK, {}
+    blocks = [-(-n // block) for n in sizes.values()]
+    for i, first, stop, start, period, offsets in mixing.phases(blocks, [n**0.5 for n in sizes.values()]):
+        for j in range(stop - first):
+            slot_of[start + j // len(offsets) * period + offsets[j % len(offsets)]] = list(sizes)[i], first + j
+    want = {}
+    for slot, (source, j) in slot_of.items():
+        want |= {slot * block + k: source for k in range(min(block, sizes[source] - j * block))}
+    assert {r.position: r.source for r in got} == want and len(got) == 1000
+
+
 @needs_data
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_sql(spark, name):
