@@ -4,9 +4,9 @@ A text is normalised by the longest prefix in the model's compiled character map
 normalised character keeps the source byte it came from. Pieces are then formed by merges of
 best score, and each piece is projected to its span of original UTF-8 bytes. Merges never
 cross a point where a word sign follows another character unless a piece of the model does,
-so texts are merged word by word, and words already seen are taken from a bounded cache.
-Where normalising a word again can't change it, new words are merged by the library, else
-by ``PieceModel.merge``.
+so texts are merged word by word. Where words can be normalised one by one too, the pieces and
+spans of those already seen are taken from a bounded cache, and new ones are merged many at
+once, one merge of each word a round.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import hashlib
 import heapq
 import re
 import struct
-from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,8 @@ SIGN = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Words whose pieces a worker keeps.
 CACHE_WORDS = 200_000
+#: Characters of a word that is merged beside others; longer ones are merged by themselves.
+ROUND_CHARS = 48
 
 
 def _fields(data: bytes):
@@ -126,19 +128,42 @@ class PieceModel:
         self.dummy, self.squeeze, self.escape = bool(normalizer.get(3, 1)), bool(normalizer.get(4, 1)), bool(normalizer.get(5, 1))
         self.user.sort(key=len, reverse=True)
         self.by_word = not any(re.search(f"[^{SIGN}]{SIGN}", p) for p in self.ids)
-        self.identity = not self.map.units and not self.user and self.dummy and not self.squeeze and self.escape and not self.suffix and self.by_word and self.byte_fallback
-        self.cache: dict[str, tuple[bytes, str]] = {}
-        # source bytes of a piece where a sign stands for one space
-        self.source_bytes = np.zeros(n, np.int64)
-        for piece, i in self.ids.items():
-            self.source_bytes[i] = len(piece.encode()) - 2 * piece.count(SIGN)
-        self.source_bytes[list(self.byte_ids.values())] = 1
+        self.alone = self._plain() and self.dummy and self.escape and not self.suffix and self.by_word and SIGN in self.ids
+        self.cache: dict[str, tuple[bytes, bytes, bytes, str, int, int]] = {}
+        if self.alone:
+            self._pairs()
+
+    def _plain(self) -> bool:
+        return not self.map.units and not self.user and not self.squeeze
+
+    def _pairs(self) -> None:
+        """Symbols (pieces, and characters of pieces), and what each pair of them makes."""
+        self.symbol = {p: i for i, p in enumerate(dict.fromkeys([*self.ids, *(c for p in self.ids for c in p)]))}
+        names, get = list(self.symbol), self.symbol.get
+        made = {}
+        for p in self.ids:
+            for k in range(1, len(p)):
+                a, b = get(p[:k]), get(p[k:])
+                if a is not None and b is not None:
+                    made[a * len(names) + b] = get(p)
+        self.pair_keys = np.array(sorted(made), np.int64)
+        self.pair_made = np.array([made[k] for k in self.pair_keys.tolist()], np.int64)
+        self.symbol_rank = np.array([self.rank.get(p, np.inf) for p in names])
+        self.symbol_id = np.array([self.ids.get(p, -1) for p in names], np.int64)
+        self.symbol_chars = np.array([len(p) for p in names], np.int64)
 
     # normalising -----------------------------------------------------------
 
     def normalise(self, text: str) -> tuple[str, list[int]]:
         """The normalised text, and for each of its characters and its end the source byte."""
         data = text.encode()
+        if self._plain() and text and not (self.dummy and self.suffix):  # every character stands for itself
+            out = text.replace(" ", SIGN) if self.escape else text
+            if len(data) == len(text):
+                source = list(range(len(data) + 1))
+            else:
+                source = [*np.flatnonzero(np.frombuffer(data, np.uint8) & 0xC0 != 0x80).tolist(), len(data)]
+            return ((SIGN if self.escape else " ") + out, [0, *source]) if self.dummy else (out, source)
         out: list[str] = []
         source: list[int] = []
         space = SIGN if self.escape else " "
@@ -256,21 +281,88 @@ class PieceModel:
 
     # encoding --------------------------------------------------------------
 
+    def merge_all(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of normalised words after ``merge`` of each, and the word of each symbol.
+
+        A round merges the best pair of every word; characters that no piece has are -1.
+        """
+        get, none = self.symbol.get, len(self.symbol)
+        sym = np.array([get(c, -1) for c in "".join(words)], np.int64)
+        word = np.repeat(np.arange(len(words)), [len(w) for w in words])
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def made(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            key = np.where((a < 0) | (b < 0), -1, a * none + b)
+            at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+            return np.where(self.pair_keys[at] == key, self.pair_made[at], -1)
+
+        rank = np.append(self.symbol_rank, np.inf)
+        new = np.full(len(sym), -1)  # what a symbol makes with the next one
+        if len(sym) and len(self.pair_keys):
+            new[:-1] = np.where(word[:-1] == word[1:], made(sym[:-1], sym[1:]), -1)
+        while len(sym):
+            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            size = np.diff(np.append(first, len(sym)))
+            r = rank[new]
+            best = np.minimum.reduceat(r, first)
+            live = np.repeat(best < np.inf, size)
+            if not live.all():
+                done.append((sym[~live], word[~live]))
+                sym, word, new, r = sym[live], word[live], new[live], r[live]
+                size, best = size[best < np.inf], best[best < np.inf]
+                if not len(sym):
+                    break
+            hit = np.flatnonzero(r == np.repeat(best, size))
+            hit = hit[np.concatenate([[True], word[hit[1:]] != word[hit[:-1]]])]
+            sym[hit] = new[hit]
+            keep = np.ones(len(sym), bool)
+            keep[hit + 1] = False
+            hit = hit - np.arange(len(hit))
+            sym, word, new = sym[keep], word[keep], new[keep]
+            for at in (hit - 1, hit):
+                at = at[(at >= 0) & (at + 1 < len(sym))]
+                new[at] = np.where(word[at] == word[at + 1], made(sym[at], sym[at + 1]), -1)
+            new[hit[hit + 1 == len(sym)]] = -1
+        sym, word = (np.concatenate([np.zeros(0, np.int64), *(d[k] for d in done)]) for k in (0, 1))
+        order = np.argsort(word, kind="stable")
+        return sym[order], word[order]
+
     def _learn(self, words: set[str]) -> None:
-        """Put words that start with a sign into the cache: ids, and ids as text."""
+        """Put words that start with a sign into the cache: ids, spans, ids as text, counts.
+
+        The first sign is the one that normalising puts in front, and has no source.
+        """
         new = {w for w in words if w not in self.cache}
         if len(self.cache) + len(new) > CACHE_WORDS:
             self.cache.clear()
         else:
             words = new
-        rest = [w for w in words if w.strip(SIGN)]
-        # the library puts a sign in front, so it gets the word without its first
-        got = decoder(self.path).encode([w[1:].replace(SIGN, " ") for w in rest], num_threads=1)
-        for w in words - set(rest):
-            rest.append(w)
-            got.append([i for i, *_ in self.pieces(w)])
-        for w, ids in zip(rest, got, strict=True):
-            self.cache[w] = array("i", ids).tobytes(), ",".join(map(str, ids))
+        short = [w for w in words if 1 < len(w) <= ROUND_CHARS]
+        for w in words:
+            if not 1 < len(w) <= ROUND_CHARS:
+                self._keep(w)
+        if not short:
+            return
+        both = [self.normalise(w[1:].replace(SIGN, " ")) for w in short]
+        sym, word = self.merge_all([n for n, _ in both])
+        ids, chars = np.where(sym < 0, -1, self.symbol_id[sym]), np.where(sym < 0, 1, self.symbol_chars[sym])
+        source = np.fromiter(chain.from_iterable(s for _, s in both), np.int64)
+        stop = np.cumsum(chars)  # over all words
+        begin = stop - chars
+        lo, hi = (source[x + word].astype(np.int32).tobytes() for x in (begin, stop))  # a word has one source place more than characters
+        bounds = np.searchsorted(word, np.arange(len(short) + 1)).tolist()
+        known = np.minimum.reduceat(ids, bounds[:-1]) >= 0
+        small, listed = ids.astype(np.int32).tobytes(), list(map(str, ids.tolist()))
+        for i, (w, ok) in enumerate(zip(short, known.tolist(), strict=True)):
+            if ok:
+                a, b = bounds[i], bounds[i + 1]
+                self.cache[w] = small[4 * a : 4 * b], lo[4 * a : 4 * b], hi[4 * a : 4 * b], ",".join(listed[a:b]), b - a, both[i][1][-1] + 1
+            else:
+                self._keep(w)
+
+    def _keep(self, w: str) -> None:
+        ids, starts, ends, joined = self._project(*(self.normalise(w[1:].replace(SIGN, " ")) if len(w) > 1 else (SIGN, [0, 0])))
+        self.cache[w] = ids.tobytes(), starts.astype(np.int32).tobytes(), ends.astype(np.int32).tobytes(), joined, len(ids), len(w[1:].replace(SIGN, " ").encode()) + 1
 
     def _words(self, text: str) -> list[str]:
         parts = text.split(" ")
@@ -291,8 +383,8 @@ class PieceModel:
     def encode_all(self, texts: list[str]):
         """``encode`` of each text, in order; words are learnt for about half a million characters at once.
 
-        Where the map is empty and nothing is squeezed, a normalised text is its words with
-        signs for spaces, and a piece's source length follows from the piece.
+        Where the map is empty and nothing is squeezed, each word is normalised, merged and
+        projected by itself; its spans are moved to its place.
         """
         at = 0
         while at < len(texts):
@@ -300,7 +392,7 @@ class PieceModel:
             while to < len(texts) and (to == at or size + len(texts[to]) <= 1 << 19):
                 size += len(texts[to])
                 to += 1
-            words = [self._words(t) if t and self.identity and SIGN not in t else None for t in texts[at:to]]
+            words = [self._words(t) if t and self.alone and SIGN not in t else None for t in texts[at:to]]
             unknown: set[str] = set()
             for w in words:
                 if w:
@@ -311,15 +403,20 @@ class PieceModel:
                 if w is None:
                     yield self._encode_any(t)
                     continue
-                found, names = zip(*map(known, w), strict=True)
-                ids = np.frombuffer(b"".join(found), np.int32)
-                ends = np.cumsum(self.source_bytes[ids]) - 1  # the first sign has no source
-                starts = np.concatenate([[0], ends[:-1]])
-                yield ids, starts, ends, ",".join(names)
+                found, lo, hi, names, n, size = zip(*map(known, w), strict=True)
+                n, base = np.array(n), np.cumsum((0, *size[:-1]))
+                move = np.repeat(base, n)
+                starts, ends = (np.frombuffer(b"".join(x), np.int32) + move for x in (lo, hi))
+                # a word's sign is the space before it, but for the first
+                starts[(np.cumsum(n) - n)[1:]] -= 1
+                yield np.frombuffer(b"".join(found), np.int32), starts, ends, ",".join(names)
             at = to
 
     def _encode_any(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, str]:
-        norm, source = self.normalise(text)
+        return self._project(*self.normalise(text))
+
+    def _project(self, norm: str, source: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, str]:
+        """Pieces of a normalised text, with the source spans of their characters."""
         ids, starts, ends, at = [], [], [], 0
         for word in re.findall(f"{SIGN}*[^{SIGN}]+|{SIGN}+", norm) if self.by_word else [norm] * bool(norm):
             for i, a, b, j in self.pieces(word):

@@ -47,6 +47,22 @@ def test_merges_against_the_library():
             assert [i for w in [m.normalise(t)[0]] for i, *_ in m.pieces(w)] == lib.encode(t)
 
 
+@needs_model
+def test_texts_are_encoded_without_the_library(monkeypatch):
+    monkeypatch.setattr(pieces, "decoder", lambda path: pytest.fail("the library encodes"))
+    m, lib = pieces.PieceModel(PATH), sentencepiece.SentencePieceProcessor(model_file=PATH)
+    texts = ODD + [t or "" for _, t in TEXTS] + ["naïve façade 日本 x" * 5 + " unbelievably 12345 " + "z" * 47, "a" * 48 + " " + "b" * 49]
+    for t, (ids, starts, ends, _) in zip(texts, m.encode_all(texts), strict=True):
+        assert ids.tolist() == lib.encode(t)
+        want = m._encode_any(t)
+        assert starts.tolist() == want[1].tolist() and ends.tolist() == want[2].tolist()
+    words = sorted({w for t in texts if "▁" not in t for w in m._words(t)})
+    sym, word = m.merge_all(words)
+    names = [*m.symbol]
+    for i, w in enumerate(words):
+        assert [names[k] if k >= 0 else None for k in sym[word == i]] == [p if p in m.symbol else None for p in m.merge(w)]
+
+
 @needs_model
 @pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc", "nmt_nfkc_cf", "identity"])
 @pytest.mark.parametrize("dummy", [False, True])
