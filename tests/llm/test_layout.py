@@ -89,6 +89,20 @@ def test_mixing_edge_cases(spark):
     assert mixing.scheduled(documents(spark, [])).count() == 0
 
 
+def test_very_many_sources(spark):
+    names = ["big"] * 400 + [None] * 300 + [f"host{i}" for i in range(2100) for _ in range(2)]
+    docs = spark.createDataFrame([(i, s) for i, s in enumerate(names)], "doc_id long, source string")
+    for weights in (None, {"big": 20.0, "host1": 2**0.5}):
+        out = sorted(mixing.scheduled(docs, weights, block=1).collect(), key=lambda r: r.position)
+        assert sorted(r.doc_id for r in out) == list(range(len(names))) and len({r.position for r in out}) == len(out)
+        share = 20 / (20 + (300**0.5 if weights is None else 2**0.5) + 2100 * 2**0.5)
+        for k in (500, 1500, 3000):  # nothing has ended yet
+            first = out[:k]
+            assert abs(sum(r.source == "big" for r in first) - k * share) <= 0.2 * k * share + 4
+        hosts = [r.source for r in out if r.source and r.source != "big"]
+        assert len(set(hosts[:1500])) > 1400  # no host has its second turn long before others their first
+
+
 # sharding ------------------------------------------------------------------
 
 
