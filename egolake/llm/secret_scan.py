@@ -28,6 +28,8 @@ KINDS = ("assign", "access", "hex", "crf")
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
 #: Documents of the corpus, by a hash of their ids, that take part in fitting.
 FIT_DOCS = 1000
+#: Anchors (tokens with a digit or a key word) outside of secrets that a text is fitted on, by a hash of their places.
+FIT_ANCHORS = 40
 KEYWORDS = b"password passwd secret token api apikey api_key key auth authorization bearer credential credentials pwd private access".split()
 
 
@@ -178,10 +180,22 @@ def _made_up(n: int = 600) -> list[tuple[bytes, list[tuple[int, int, int]]]]:
     return out
 
 
+def _near(secret: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """The tokens of a text that are learnt from."""
+    other = np.flatnonzero(anchor & ~secret)
+    mixed = (other.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    near = np.zeros(len(secret), bool)
+    for t in [*np.flatnonzero(secret), *other[np.argsort(mixed, kind="stable")[:FIT_ANCHORS]]]:
+        near[max(0, t - 10) : t + 11] = True
+    near[:10] = True
+    return near
+
+
 def fitted(docs: DataFrame, limit: int = FIT_DOCS) -> crf.Chain:
     """A field fitted on invented lines and on at most ``limit`` texts with their base spans.
 
-    Tokens further than ten from a token with a digit or a key word are left out in fitting.
+    Tokens further than ten from an anchor are left out in fitting, but for a text's first ten.
+    Anchors are all tokens of secrets, and FIT_ANCHORS others of the whole text.
     """
     ids = docs.where("doc_id is not null").select("doc_id").orderBy(F.xxhash64(F.col("doc_id")), "doc_id").limit(limit).distinct()
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").where("text is not null").orderBy("doc_id").collect()
@@ -191,11 +205,8 @@ def fitted(docs: DataFrame, limit: int = FIT_DOCS) -> crf.Chain:
         offs = np.array([0, len(raw)])
         start, end, _, x = token_features(raw, offs)
         y = _weak_labels(start, end, base_spans(data, raw, offs)[0] if spans is None else spans)
-        near = np.zeros(len(y), bool)
-        for t in np.flatnonzero((x[:, 5] > 0) | (x[:, 10] > 0) | (x[:, 15] > 0) | (y > 0))[:40]:
-            near[max(0, t - 10) : t + 11] = True
-        near[:10] = True
-        chains.append((x[near][:400], y[near][:400]))
+        near = _near(y > 0, (x[:, 5] > 0) | (x[:, 10] > 0) | (x[:, 15] > 0))
+        chains.append((x[near], y[near]))
     return crf.fit(chains, 3, N_FEATURES, steps=80)
 
 
