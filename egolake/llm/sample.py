@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Labelled documents at most, and characters of a document at most, that a model is fitted on.
-SAMPLE_DOCS, SAMPLE_CHARS = 5000, 40_000
+SAMPLE_DOCS, SAMPLE_CHARS = 10_000, 60_000
 
 
 def fold(doc_id: int) -> int:
@@ -16,8 +16,8 @@ def fold(doc_id: int) -> int:
     return crc32(str(doc_id).encode()) % 5
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int = SAMPLE_DOCS) -> list:
-    """Rows (doc_id, text, label) of at most ``limit`` labelled documents that are not held out.
+def sample_rows(docs: DataFrame, labels: DataFrame, label: str, limit: int = SAMPLE_DOCS) -> DataFrame:
+    """Rows (doc_id, text, y) of at most ``limit`` labelled documents that are not held out.
 
     The ids are the first by a hash, so the sample doesn't depend on the order of rows. Null
     labels, ids and texts and texts of over SAMPLE_CHARS are not sampled.
@@ -26,5 +26,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int =
     ids = labels.where(F.col("doc_id").isNotNull() & (key % 5 != 0) & F.col(label).isin(0, 1))
     ids = ids.select("doc_id", F.col(label).cast("int").alias("y"), F.xxhash64(F.col("doc_id")).alias("h")).dropDuplicates(["doc_id"])
     chosen = F.broadcast(ids.orderBy("h", "doc_id").limit(limit).select("doc_id", "y"))
-    rows = docs.select("doc_id", "text").where(F.length("text") <= SAMPLE_CHARS).join(chosen, "doc_id").collect()
+    return docs.select("doc_id", "text").where(F.length("text") <= SAMPLE_CHARS).join(chosen, "doc_id")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int = SAMPLE_DOCS) -> list:
+    """``sample_rows`` on the driver, in order."""
+    rows = sample_rows(docs, labels, label, limit).collect()
     return sorted((r.doc_id, r.text, r.y) for r in rows)

@@ -131,6 +131,13 @@ def test_toxicity_holds_out_and_learns(spark):
     assert again == {r.doc_id: r.score for r in out}  # labels that are held out change nothing
 
 
+def test_sample_takes_long_texts_and_ten_thousand_documents(spark):
+    docs = spark.range(16_000).selectExpr("id as doc_id", "case when id % 100 = 1 then repeat('word ', 10000) else 'a word' end as text")
+    lab = spark.range(16_000).selectExpr("id as doc_id", "cast(id % 2 as int) as toxic")
+    got = sample.sample_rows(docs, lab, "toxic").selectExpr("count(*) n", "max(length(text)) longest").first()
+    assert (got.n, got.longest) == (10_000, 50_000)
+
+
 def test_toxicity_edge_cases(spark):
     out = toxicity.toxicity(documents(spark, clash=("predicted",)), labels(spark)).collect()
     assert len(out) == len(TEXTS) and all(0 <= r.score <= 1 for r in out)
