@@ -4,9 +4,9 @@ A text is normalised by the longest prefix in the model's compiled character map
 normalised character keeps the source byte it came from. Pieces are then formed by merges of
 best score, and each piece is projected to its span of original UTF-8 bytes. Merges never
 cross a point where a word sign follows another character unless a piece of the model does,
-so texts are merged word by word. Where words can be normalised one by one too, the pieces and
-spans of those already seen are taken from a bounded cache, and new ones are merged many at
-once, one merge of each word a round.
+so texts are merged word by word: the different words of many texts at once, one merge of each
+a round. The map is walked from every byte of every text; texts in which it finds something
+are normalised prefix by prefix, in the others every character stands for itself.
 """
 
 from __future__ import annotations
@@ -15,21 +15,23 @@ import hashlib
 import heapq
 import re
 import struct
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bytetext import mix, prefix_sums, spans_hash
 from .work import python_ready
 
 SIGN = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-#: Words whose pieces a worker keeps.
-CACHE_WORDS = 200_000
+#: Characters of text that are encoded at once; longer texts are cut between words.
+ENCODE_CHARS = 1 << 20
 #: Characters of a word that is merged beside others; longer ones are merged by themselves.
 ROUND_CHARS = 48
+_SIGN = ord(SIGN)
+_LEAD = np.array([0, 0, 0xC0, 0xE0, 0xF0])  # first byte of a UTF-8 character, by its length
 
 
 def _fields(data: bytes):
@@ -89,6 +91,26 @@ class CharacterMap:
         n, place = found
         return n, self.texts[place : self.texts.index(b"\0", place)]
 
+    def maps(self, raw: np.ndarray) -> np.ndarray:
+        """For every byte: whether a mapped prefix starts there. All walks advance together."""
+        found = np.zeros(len(raw), bool)
+        if not self.units:
+            return found
+        units = np.array(self.units, np.int64)
+        step = (units >> 10) << ((units & 512) >> 6)
+        live = at = np.arange(len(raw))
+        node = np.full(len(raw), step[0])
+        while len(live):
+            node = node ^ raw[at]
+            ok = node < len(units)
+            ok[ok] = units[node[ok]] & 0x800000FF == raw[at[ok]]
+            live, at, node = live[ok], at[ok] + 1, node[ok]
+            found[live[(units[node] >> 8 & 1) > 0]] = True
+            more = ~found[live] & (at < len(raw))
+            node = node ^ step[node]
+            live, at, node = live[more], at[more], node[more]
+        return found
+
 
 class PieceModel:
     """A BPE model file, and encoding with it."""
@@ -128,42 +150,66 @@ class PieceModel:
         self.dummy, self.squeeze, self.escape = bool(normalizer.get(3, 1)), bool(normalizer.get(4, 1)), bool(normalizer.get(5, 1))
         self.user.sort(key=len, reverse=True)
         self.by_word = not any(re.search(f"[^{SIGN}]{SIGN}", p) for p in self.ids)
-        self.alone = self._plain() and self.dummy and self.escape and not self.suffix and self.by_word and SIGN in self.ids
-        self.cache: dict[str, tuple[bytes, bytes, bytes, str, int, int]] = {}
-        if self.alone:
+        self.together = not self.user and not self.squeeze and self.dummy and self.escape and not self.suffix and self.by_word and self.byte_fallback and SIGN in self.ids
+        if self.together:
             self._pairs()
 
-    def _plain(self) -> bool:
-        return not self.map.units and not self.user and not self.squeeze
-
     def _pairs(self) -> None:
         """Symbols (pieces, and characters of pieces), and what each pair of them makes."""
         self.symbol = {p: i for i, p in enumerate(dict.fromkeys([*self.ids, *(c for p in self.ids for c in p)]))}
         names, get = list(self.symbol), self.symbol.get
-        made = {}
+        keys, makes = [], []
         for p in self.ids:
             for k in range(1, len(p)):
                 a, b = get(p[:k]), get(p[k:])
                 if a is not None and b is not None:
-                    made[a * len(names) + b] = get(p)
-        self.pair_keys = np.array(sorted(made), np.int64)
-        self.pair_made = np.array([made[k] for k in self.pair_keys.tolist()], np.int64)
-        self.symbol_rank = np.array([self.rank.get(p, np.inf) for p in names])
-        self.symbol_id = np.array([self.ids.get(p, -1) for p in names], np.int64)
-        self.symbol_chars = np.array([len(p) for p in names], np.int64)
+                    keys.append(a * len(names) + b)
+                    makes.append(get(p))
+        self.char_symbol = np.full(0x110000, -1, np.int32)
+        for c, i in self.symbol.items():
+            if len(c) == 1:
+                self.char_symbol[ord(c)] = i
+        self.symbol_rank = np.append([self.rank.get(p, np.inf) for p in names], np.inf)  # the last is for -1
+        self.symbol_id = np.append([self.ids.get(p, -1) for p in names], -1).astype(np.int64)
+        self.symbol_chars = np.append([len(p) for p in names], 1).astype(np.int64)
+        self.byte_id = np.array([self.byte_ids[b] for b in range(256)])
+        self.id_text = [str(i) for i in range(1 + max(*self.ids.values(), *self.byte_ids.values()))]
+        # pairs in a table of open addresses, an eighth full at most
+        self.slot_bits = max(4, (8 * len(keys)).bit_length())
+        self.slot_key, self.slot_made = np.full(1 << self.slot_bits, -1, np.int64), np.full(1 << self.slot_bits, -1, np.int32)
+        left = np.arange(len(keys))
+        keys, makes = np.array(keys, np.int64), np.array(makes, np.int32)
+        at = self._slot(keys)
+        while len(left):
+            free = self.slot_key[at[left]] < 0
+            self.slot_key[at[left[free]]] = keys[left[free]]  # of several the last stays
+            left = left[self.slot_key[at[left]] != keys[left]]
+            at[left] = at[left] + 1 & (1 << self.slot_bits) - 1
+        self.slot_made[at] = makes
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.slot_bits)).astype(np.int64)
+
+    def _made(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The symbol that each pair makes, or -1."""
+        key = np.where((a < 0) | (b < 0), -2, a.astype(np.int64) * (len(self.symbol_id) - 1) + b)
+        at = self._slot(key)
+        have = self.slot_key[at]
+        out = np.where(have == key, self.slot_made[at], -1)
+        left = np.flatnonzero((have != key) & (have >= 0))
+        while len(left):
+            at[left] = at[left] + 1 & (1 << self.slot_bits) - 1
+            have = self.slot_key[at[left]]
+            hit = have == key[left]
+            out[left[hit]] = self.slot_made[at[left[hit]]]
+            left = left[~hit & (have >= 0)]
+        return out
 
     # normalising -----------------------------------------------------------
 
     def normalise(self, text: str) -> tuple[str, list[int]]:
         """The normalised text, and for each of its characters and its end the source byte."""
         data = text.encode()
-        if self._plain() and text and not (self.dummy and self.suffix):  # every character stands for itself
-            out = text.replace(" ", SIGN) if self.escape else text
-            if len(data) == len(text):
-                source = list(range(len(data) + 1))
-            else:
-                source = [*np.flatnonzero(np.frombuffer(data, np.uint8) & 0xC0 != 0x80).tolist(), len(data)]
-            return ((SIGN if self.escape else " ") + out, [0, *source]) if self.dummy else (out, source)
         out: list[str] = []
         source: list[int] = []
         space = SIGN if self.escape else " "
@@ -281,35 +327,28 @@ class PieceModel:
 
     # encoding --------------------------------------------------------------
 
-    def merge_all(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The symbols of normalised words after ``merge`` of each, and the word of each symbol.
+    def merge_all(self, sym: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of words after ``merge`` of each, and the word of each symbol.
 
-        A round merges the best pair of every word; characters that no piece has are -1.
+        ``sym`` are the symbols of the words' characters (-1: no piece has it), ``word`` the
+        words they belong to, in order. A round merges the best pair of every word.
         """
-        get, none = self.symbol.get, len(self.symbol)
-        sym = np.array([get(c, -1) for c in "".join(words)], np.int64)
-        word = np.repeat(np.arange(len(words)), [len(w) for w in words])
         done: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def made(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            key = np.where((a < 0) | (b < 0), -1, a * none + b)
-            at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-            return np.where(self.pair_keys[at] == key, self.pair_made[at], -1)
-
-        rank = np.append(self.symbol_rank, np.inf)
-        new = np.full(len(sym), -1)  # what a symbol makes with the next one
-        if len(sym) and len(self.pair_keys):
-            new[:-1] = np.where(word[:-1] == word[1:], made(sym[:-1], sym[1:]), -1)
+        new = np.full(len(sym), -1, np.int32)  # what a symbol makes with the next one
+        if len(sym) > 1:
+            new[:-1] = np.where(word[:-1] == word[1:], self._made(sym[:-1], sym[1:]), -1)
         while len(sym):
             first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
             size = np.diff(np.append(first, len(sym)))
-            r = rank[new]
+            r = self.symbol_rank[new]
             best = np.minimum.reduceat(r, first)
-            live = np.repeat(best < np.inf, size)
-            if not live.all():
-                done.append((sym[~live], word[~live]))
+            over = best == np.inf
+            if over.any():
+                gone = np.repeat(over, size)
+                done.append((sym[gone], word[gone]))
+                live = ~gone
                 sym, word, new, r = sym[live], word[live], new[live], r[live]
-                size, best = size[best < np.inf], best[best < np.inf]
+                size, best = size[~over], best[~over]
                 if not len(sym):
                     break
             hit = np.flatnonzero(r == np.repeat(best, size))
@@ -319,103 +358,151 @@ class PieceModel:
             keep[hit + 1] = False
             hit = hit - np.arange(len(hit))
             sym, word, new = sym[keep], word[keep], new[keep]
-            for at in (hit - 1, hit):
-                at = at[(at >= 0) & (at + 1 < len(sym))]
-                new[at] = np.where(word[at] == word[at + 1], made(sym[at], sym[at + 1]), -1)
             new[hit[hit + 1 == len(sym)]] = -1
+            at = np.concatenate([hit - 1, hit])
+            at = at[(at >= 0) & (at + 1 < len(sym))]
+            new[at] = np.where(word[at] == word[at + 1], self._made(sym[at], sym[at + 1]), -1)
         sym, word = (np.concatenate([np.zeros(0, np.int64), *(d[k] for d in done)]) for k in (0, 1))
         order = np.argsort(word, kind="stable")
         return sym[order], word[order]
 
-    def _learn(self, words: set[str]) -> None:
-        """Put words that start with a sign into the cache: ids, spans, ids as text, counts.
-
-        The first sign is the one that normalising puts in front, and has no source.
-        """
-        new = {w for w in words if w not in self.cache}
-        if len(self.cache) + len(new) > CACHE_WORDS:
-            self.cache.clear()
-        else:
-            words = new
-        short = [w for w in words if 1 < len(w) <= ROUND_CHARS]
-        for w in words:
-            if not 1 < len(w) <= ROUND_CHARS:
-                self._keep(w)
-        if not short:
-            return
-        both = [self.normalise(w[1:].replace(SIGN, " ")) for w in short]
-        sym, word = self.merge_all([n for n, _ in both])
-        ids, chars = np.where(sym < 0, -1, self.symbol_id[sym]), np.where(sym < 0, 1, self.symbol_chars[sym])
-        source = np.fromiter(chain.from_iterable(s for _, s in both), np.int64)
-        stop = np.cumsum(chars)  # over all words
-        begin = stop - chars
-        lo, hi = (source[x + word].astype(np.int32).tobytes() for x in (begin, stop))  # a word has one source place more than characters
-        bounds = np.searchsorted(word, np.arange(len(short) + 1)).tolist()
-        known = np.minimum.reduceat(ids, bounds[:-1]) >= 0
-        small, listed = ids.astype(np.int32).tobytes(), list(map(str, ids.tolist()))
-        for i, (w, ok) in enumerate(zip(short, known.tolist(), strict=True)):
-            if ok:
-                a, b = bounds[i], bounds[i + 1]
-                self.cache[w] = small[4 * a : 4 * b], lo[4 * a : 4 * b], hi[4 * a : 4 * b], ",".join(listed[a:b]), b - a, both[i][1][-1] + 1
-            else:
-                self._keep(w)
-
-    def _keep(self, w: str) -> None:
-        ids, starts, ends, joined = self._project(*(self.normalise(w[1:].replace(SIGN, " ")) if len(w) > 1 else (SIGN, [0, 0])))
-        self.cache[w] = ids.tobytes(), starts.astype(np.int32).tobytes(), ends.astype(np.int32).tobytes(), joined, len(ids), len(w[1:].replace(SIGN, " ").encode()) + 1
-
-    def _words(self, text: str) -> list[str]:
-        parts = text.split(" ")
-        if "" not in parts:
-            return [SIGN + p for p in parts]
-        words, signs = [], ""
-        for p in parts:
-            signs += SIGN
-            if p:
-                words.append(signs + p)
-                signs = ""
-        return [*words, signs] if signs else words
-
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, str]:
         """Ids, starts and ends of their spans in the text's UTF-8 bytes, and the ids as text."""
         return next(self.encode_all([text]))
 
     def encode_all(self, texts: list[str]):
-        """``encode`` of each text, in order; words are learnt for about half a million characters at once.
-
-        Where the map is empty and nothing is squeezed, each word is normalised, merged and
-        projected by itself; its spans are moved to its place.
-        """
+        """``encode`` of each text, in order, about ENCODE_CHARS characters at once."""
         at = 0
         while at < len(texts):
             to, size = at, 0
-            while to < len(texts) and (to == at or size + len(texts[to]) <= 1 << 19):
+            while to < len(texts) and (to == at or size + len(texts[to]) <= ENCODE_CHARS):
                 size += len(texts[to])
                 to += 1
-            words = [self._words(t) if t and self.alone and SIGN not in t else None for t in texts[at:to]]
-            unknown: set[str] = set()
-            for w in words:
-                if w:
-                    unknown.update(w)
-            self._learn(unknown)
-            known = self.cache.__getitem__
-            for t, w in zip(texts[at:to], words, strict=True):
-                if w is None:
-                    yield self._encode_any(t)
-                    continue
-                found, lo, hi, names, n, size = zip(*map(known, w), strict=True)
-                n, base = np.array(n), np.cumsum((0, *size[:-1]))
-                move = np.repeat(base, n)
-                starts, ends = (np.frombuffer(b"".join(x), np.int32) + move for x in (lo, hi))
-                # a word's sign is the space before it, but for the first
-                starts[(np.cumsum(n) - n)[1:]] -= 1
-                yield np.frombuffer(b"".join(found), np.int32), starts, ends, ",".join(names)
+            if size > ENCODE_CHARS:  # one very long text
+                got = [self._encode_parts(texts[at])]
+            else:
+                got = self._encode_many(texts[at:to])
+            for ids, starts, ends in got:
+                yield ids, starts, ends, ",".join(map(self.id_text.__getitem__, ids.tolist())) if self.together else ",".join(map(str, ids.tolist()))
             at = to
 
-    def _encode_any(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, str]:
+    def _encode_parts(self, text: str):
+        """A very long text in parts that begin with a space after another character."""
+        if not self.together:
+            return self._encode_any(text)
+        cuts = [0]
+        while len(text) - cuts[-1] > ENCODE_CHARS:
+            found = re.compile(f"(?<=[^ {SIGN}]) ").search(text, cuts[-1] + ENCODE_CHARS)
+            if not found:
+                break
+            cuts.append(found.start())
+        parts, base = [], 0
+        for a, b in zip(cuts, [*cuts[1:], len(text)], strict=True):
+            got = self._encode_many([text[a:b]], a == 0)
+            if got is None:  # mapped prefixes may reach over a cut
+                return self._encode_any(text)
+            parts.append((got[0][0], got[0][1] + base, got[0][2] + base))
+            base += len(text[a:b].encode())
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+    def _encode_many(self, texts: list[str], begin: bool = True):
+        """Ids, starts and ends of each text; of a part that isn't the first, None where the map finds something."""
+        whole = np.array([bool(t) and self.together for t in texts])
+        if whole.any():
+            data = [t.encode() if w else b"" for t, w in zip(texts, whole.tolist(), strict=True)]
+            mapped = np.flatnonzero(self.map.maps(np.frombuffer(b"".join(data), np.uint8)))
+            if len(mapped):
+                of = np.searchsorted(np.cumsum([len(d) for d in data]), mapped, "right")
+                whole[of] = False
+                if len(texts) == 1 and len(texts[0]) > ENCODE_CHARS // 2:
+                    return None if not begin else [self._encode_any(texts[0])]
+        some = iter(self._encode_words([t for t, w in zip(texts, whole.tolist(), strict=True) if w], begin))
+        return [next(some) if w else self._encode_any(t) for t, w in zip(texts, whole.tolist(), strict=True)]
+
+    def _encode_words(self, texts: list[str], begin: bool):
+        """Ids, starts and ends of texts whose characters stand for themselves; ``begin``: a sign comes first."""
+        if not texts:
+            return
+        cps = np.frombuffer("".join(texts).encode("utf-32-le"), np.int32)
+        first = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        width = 1 + (cps > 0x7F) + (cps > 0x7FF) + (cps > 0xFFFF)
+        if begin:
+            cps, width = np.insert(cps, first[:-1], 32), np.insert(width, first[:-1], 0)
+            first = first + np.arange(len(first))
+        stop = np.cumsum(width)  # source bytes
+        start = stop - width
+        cps = np.where(cps == 32, _SIGN, cps)
+        sign = cps == _SIGN
+        head = sign.copy()
+        head[1:] &= ~sign[:-1]
+        head[first[:-1]] = True
+        at = np.flatnonzero(head)
+        size = np.diff(np.append(at, len(cps)))
+        # different words: by a hash, then compared with the first of that hash
+        key = spans_hash(prefix_sums(mix(cps.astype(np.uint64))), at, at + size)
+        _, some, of = np.unique(key, return_index=True, return_inverse=True)
+        inner = np.arange(len(cps)) - np.repeat(at, size)
+        like = np.minimum(np.repeat(at[some[of]], size) + inner, len(cps) - 1)
+        same = np.logical_and.reduceat(cps == cps[like], at) & (size == size[some[of]])
+        if not same.all():
+            odd = np.flatnonzero(~same)
+            of[odd] = len(some) + np.arange(len(odd))
+            some = np.concatenate([some, odd])
+        ids, lo, hi, part, bounds = self._tokens(cps, at[some], size[some])
+        n = np.diff(bounds)[of]
+        total = np.cumsum(n)
+        take = np.arange(total[-1]) + np.repeat(bounds[of] - (total - n), n)
+        base = np.repeat(at, n)
+        j = part[take]
+        starts, ends = start[base + lo[take]], stop[base + hi[take] - 1]
+        starts = np.where(j < 0, starts, starts + j)
+        ends = np.where(j < 0, ends, starts + 1)
+        ids = ids[take].astype(np.int32)
+        cut = np.concatenate([[0], total])[np.searchsorted(at, first)].tolist()
+        zero = np.append(start, stop[-1])[first].tolist()
+        for i in range(len(texts)):
+            a, b = cut[i], cut[i + 1]
+            yield ids[a:b], starts[a:b] - zero[i], ends[a:b] - zero[i]
+
+    def _tokens(self, cps: np.ndarray, at: np.ndarray, size: np.ndarray):
+        """Of words at these places: ids, first and last character + 1 in the word, byte or -1, and each word's range."""
+        long = np.flatnonzero(size > ROUND_CHARS)
+        short = np.flatnonzero(size <= ROUND_CHARS)
+        n = size[short]
+        place = np.arange(n.sum()) + np.repeat(at[short] - (np.cumsum(n) - n), n)
+        sym, word = self.merge_all(self.char_symbol[cps[place]], np.repeat(short, n))
+        if len(long):
+            more, owner = [], []
+            for w in long.tolist():
+                got = self.merge("".join(map(chr, cps[at[w] : at[w] + size[w]].tolist())))
+                more += [self.symbol.get(p, -1) for p in got]
+                owner += [w] * len(got)
+            sym, word = np.concatenate([sym, np.array(more, np.int64)]), np.concatenate([word, np.array(owner, np.int64)])
+            order = np.argsort(word, kind="stable")
+            sym, word = sym[order], word[order]
+        hi = np.cumsum(self.symbol_chars[sym])
+        hi -= np.repeat(np.cumsum(size) - size, np.bincount(word, minlength=len(size)))
+        lo = hi - self.symbol_chars[sym]
+        ids = self.symbol_id[sym]
+        # characters that are no piece are bytes
+        c = cps[at[word] + lo]
+        width = np.where(ids < 0, 1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF), 1)
+        bounds = np.concatenate([[0], np.cumsum(np.bincount(word, width, len(size)).astype(np.int64))])
+        if (ids < 0).any():
+            j = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
+            ids, lo, hi, c, width = (np.repeat(x, width) for x in (ids, lo, hi, c, width))
+            shift = 6 * (width - 1 - j)
+            byte = np.where(width == 1, c, np.where(j == 0, _LEAD[width] | c >> shift, 0x80 | c >> shift & 63))
+            part = np.where(ids < 0, j, -1)
+            ids = np.where(ids < 0, self.byte_id[byte & 255], ids)
+        else:
+            part = np.full(len(ids), -1)
+        return ids, lo, hi, part, bounds
+
+    def _encode_any(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return self._project(*self.normalise(text))
 
-    def _project(self, norm: str, source: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, str]:
+    def _project(self, norm: str, source: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Pieces of a normalised text, with the source spans of their characters."""
         ids, starts, ends, at = [], [], [], 0
         for word in re.findall(f"{SIGN}*[^{SIGN}]+|{SIGN}+", norm) if self.by_word else [norm] * bool(norm):
@@ -425,7 +512,7 @@ class PieceModel:
                 starts.append(lo if j < 0 or hi - lo != len(word[a:b].encode()) else lo + j)
                 ends.append(hi if j < 0 or hi - lo != len(word[a:b].encode()) else lo + j + 1)
             at += len(word)
-        return np.array(ids, np.int32), np.array(starts, np.int64), np.array(ends, np.int64), ",".join(map(str, ids))
+        return np.array(ids, np.int32), np.array(starts, np.int64), np.array(ends, np.int64)
 
 
 _models: dict[str, PieceModel] = {}

@@ -1,6 +1,7 @@
 import hashlib
 import io
 import os
+import re
 from zlib import crc32
 
 import numpy as np
@@ -56,13 +57,48 @@ def test_texts_are_encoded_without_the_library(monkeypatch):
         assert ids.tolist() == lib.encode(t)
         want = m._encode_any(t)
         assert starts.tolist() == want[1].tolist() and ends.tolist() == want[2].tolist()
-    words = sorted({w for t in texts if "▁" not in t for w in m._words(t)})
-    sym, word = m.merge_all(words)
+    words = sorted({w for t in texts for w in re.findall("▁*[^▁]+|▁+", m.normalise(t)[0])})
+    chars = np.array([m.char_symbol[ord(c)] for w in words for c in w])
+    sym, word = m.merge_all(chars, np.repeat(np.arange(len(words)), [len(w) for w in words]))
     names = [*m.symbol]
     for i, w in enumerate(words):
         assert [names[k] if k >= 0 else None for k in sym[word == i]] == [p if p in m.symbol else None for p in m.merge(w)]
 
 
+@needs_model
+def test_very_long_texts_are_cut_between_words(monkeypatch):
+    monkeypatch.setattr(pieces, "ENCODE_CHARS", 200)
+    m, lib = pieces.PieceModel(PATH), sentencepiece.SentencePieceProcessor(model_file=PATH)
+    for t in (TEXTS[0][1] * 3, "a  b " * 200, "é日 ▁x" * 150, "z" * 900, " " * 700):
+        ids, starts, ends, _ = m.encode(t)
+        want = m._encode_any(t)
+        assert ids.tolist() == lib.encode(t)
+        assert starts.tolist() == want[1].tolist() and ends.tolist() == want[2].tolist()
+
+
+@needs_model
+def test_words_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(pieces, "mix", lambda x: np.zeros(len(x), np.uint64))
+    m, lib = pieces.PieceModel(PATH), sentencepiece.SentencePieceProcessor(model_file=PATH)
+    texts = [t or "" for _, t in TEXTS[:9]]
+    assert [g[0].tolist() for g in m.encode_all(texts)] == [lib.encode(t) for t in texts]
+
+
+@needs_model
+@pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc"])
+def test_texts_with_mapped_prefixes_are_found(rule):
+    lib = sentencepiece.SentencePieceNormalizer(rule_name=rule)
+    spec = dict(pieces._fields(dict(pieces._fields(lib.serialized_model_proto()))[3]))
+    m = pieces.PieceModel(PATH)
+    m.map = pieces.CharacterMap(spec[2])
+    for t in ODD:
+        data = t.encode()
+        want = [m.map.longest(data, i) is not None for i in range(len(data))]
+        assert m.map.maps(np.frombuffer(data, np.uint8)).tolist() == want
+    for t, got in zip(ODD, m.encode_all(ODD), strict=True):
+        assert [x.tolist() for x in got[:3]] == [x.tolist() for x in m._encode_any(t)]
+
+
 @needs_model
 @pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc", "nmt_nfkc_cf", "identity"])
 @pytest.mark.parametrize("dummy", [False, True])
