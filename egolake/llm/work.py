@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 ARROW_ROWS, ARROW_BYTES = 256, 4 << 20
 #: Bytes up to which a measured side of a join is broadcast; beyond it the join shuffles.
 BROADCAST_BYTES = 48 << 20
+#: Keys that are joined apart from the others at most, by a broadcast.
+HEAVY_KEYS = 20_000
 
 _own: list[str] = []
 
@@ -48,9 +50,33 @@ def measured_bytes(df: DataFrame, row_bytes) -> int:
     return int(df.agg(F.sum(row_bytes)).first()[0] or 0)
 
 
-def hinted(df: DataFrame, row_bytes, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` with a broadcast hint if its measured size is at most ``limit``, else as it is."""
-    return F.broadcast(df) if measured_bytes(df, row_bytes) <= limit else df
+def hinted(df: DataFrame, row_bytes, limit: int | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if its measured size is at most ``limit`` (BROADCAST_BYTES), else as it is."""
+    return F.broadcast(df) if measured_bytes(df, row_bytes) <= (BROADCAST_BYTES if limit is None else limit) else df
+
+
+def keyed(left: DataFrame, right: DataFrame, key: str, row_bytes: int) -> DataFrame:
+    """``left`` with the columns of ``right`` (one row a key), null where it lacks the key.
+
+    ``right`` has a column rows, the rows of ``left`` with the key. A small ``right`` is
+    broadcast. Otherwise keys with more than one in HEAVY_KEYS of all those rows (there are
+    fewer than HEAVY_KEYS such) are joined by a broadcast, and their rows are scattered in the
+    shuffle that joins the rest, so that no key gathers in one task.
+    """
+    n, total = right.agg(F.count("*"), F.sum("rows")).first()
+    side = right.drop("rows")
+    if n * row_bytes <= BROADCAST_BYTES:
+        return left.join(F.broadcast(side), key, "left")
+    cols = [c for c in side.columns if c != key]
+    heavy = F.col("rows") * HEAVY_KEYS > total
+    a = right.where(heavy).select(key, F.struct(*cols).alias("_heavy"))
+    b = right.where(~heavy).select(F.col(key).alias("_key"), F.struct(*cols).alias("_light"))
+    kind = left.schema[key].dataType
+    near = F.coalesce(F.col("_heavy").isNull(), F.lit(True))
+    scattered = F.when(near, F.col(key)).otherwise(F.xxhash64(*left.columns).cast("string").cast("binary").cast(kind) if kind.typeName() == "binary" else F.xxhash64(*left.columns).cast(kind))
+    out = left.join(F.broadcast(a), key, "left").withColumn("_near", scattered)
+    out = out.join(b, (F.col("_near") == F.col("_key")) & near, "left")
+    return out.select(*left.columns, *(F.coalesce(F.col("_heavy")[c], F.col("_light")[c]).alias(c) for c in cols))
 
 
 def python_ready(spark: SparkSession) -> None:

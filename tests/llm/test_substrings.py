@@ -3,7 +3,10 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from egolake.llm import substring_dedup as S
+from egolake.llm import work
 from egolake.llm.fmindex import FMIndex, WaveletTree, suffix_array
 
 from .common import TEXTS, documents, prose
@@ -42,10 +45,7 @@ def test_edge_cases_against_brute_force(spark):
     assert S.without_repeats(documents(spark, [])).count() == 0
 
 
-def test_shared_passages_of_all_lengths(spark, monkeypatch):
-    monkeypatch.setattr(S, "SHARD_WORDS", 2000)
-    monkeypatch.setattr(S, "QUERY_WORDS", 3000)
-    monkeypatch.setattr(S, "STRETCH", 64)
+def shared_rows():
     r = random.Random(4)
     passages = [prose(900 + i, 140).split() for i in range(6)]
     hot = prose(999, 61).split()
@@ -61,12 +61,61 @@ def test_shared_passages_of_all_lengths(spark, monkeypatch):
             w += hot
         if i % 11 == 0:
             w += ["loop"] * 120 + ["a", "b"] * 60
+        if i % 20 == 0:
+            w += prose(3000 + i // 40, 60 + i % 7).split()  # passages of two documents
         rows.append((r.randrange(70) if i % 5 == 0 else 100 + i, " ".join(w)))
     rows += [(300, rows[3][1]), (301, rows[3][1]), (302, rows[7][1] + " end")]
     r.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_shared_passages_of_all_lengths(spark, monkeypatch, small):
+    monkeypatch.setattr(S, "SHARD_WORDS", 2000)
+    monkeypatch.setattr(S, "QUERY_WORDS", 3000)
+    monkeypatch.setattr(S, "STRETCH", 64)
+    if not small:  # joins that are too large to broadcast
+        monkeypatch.setattr(work, "BROADCAST_BYTES", 0)
+        monkeypatch.setattr(work, "HEAVY_KEYS", 50)
+    rows = shared_rows()
     assert got(S.without_repeats(documents(spark, rows))) == brute(rows)
 
 
+def test_the_index_decides(spark, monkeypatch):
+    """Without what backward search finds nothing goes; if it found all that is streamed, more would."""
+    rows = shared_rows()
+    removed = lambda: {(r[0], r[3]): r[2] for r in got(S.without_repeats(documents(spark, rows)))}
+    want = sum(r[2] for r in brute(rows))
+    schema = pa.schema([("doc_id", pa.int64()), ("th", pa.binary()), ("start", pa.int64()), ("stop", pa.int64())])
+
+    def nothing(index, queries):
+        return schema.empty_table()
+
+    def everything(index, queries):
+        stop = [s + len(w) for s, w in zip(queries["start"].to_pylist(), queries["words"].to_pylist(), strict=True)]
+        return pa.table([queries["doc_id"], queries["th"], queries["start"], pa.array(stop, pa.int64())], schema=schema)
+
+    monkeypatch.setattr(S, "_search", nothing)
+    assert sum(removed().values()) == 0
+    monkeypatch.setattr(S, "_search", everything)
+    assert sum(removed().values()) > 1.1 * want
+
+
+def test_keyed_joins_without_broadcasts(spark, monkeypatch):
+    left = spark.createDataFrame([(i % 7 if i % 3 else 0, i) for i in range(300)] + [(None, 1), (99, 2)], "k long, v long")
+    n = {r.k: r["count"] for r in left.groupBy("k").count().collect()}
+    right = spark.createDataFrame([(k, n[k], f"x{k}") for k in n if k is not None and k != 99], "k long, rows long, x string")
+    want = key(tuple(r) for r in left.join(right.drop("rows"), "k", "left").collect())
+    assert key(tuple(r) for r in work.keyed(left, right, "k", 1).collect()) == want
+    monkeypatch.setattr(work, "BROADCAST_BYTES", 0)
+    for heavy in (1, 4, 1000):
+        monkeypatch.setattr(work, "HEAVY_KEYS", heavy)
+        assert key(tuple(r) for r in work.keyed(left, right, "k", 1).collect()) == want
+    as_bytes = lambda df: df.withColumn("k", df.k.cast("string").cast("binary"))
+    out = work.keyed(as_bytes(left), as_bytes(right), "k", 1)
+    assert key((None if r.k is None else int(bytes(r.k)), r.v, r.x) for r in out.collect()) == want
+
+
 def test_winnowing_keeps_one_of_every_window():
     rng = np.random.default_rng(0)
     keys = rng.integers(0, 40, 500, dtype=np.uint64)
