@@ -180,17 +180,17 @@ def _stretches(docs: DataFrame) -> DataFrame:
 
 
 def _routes(regions: DataFrame) -> DataFrame:
-    """(rid, n, to_rid): the stretch rid of n words is streamed past the index that to_rid is in."""
+    """(rid, n, to_rid, to_n): the stretch rid of n words is streamed past the index that to_rid, of to_n words, is in."""
     held = regions.select(F.explode("fps").alias("fp"), F.struct("doc_id", "rid", F.size("words").alias("n")).alias("x"))
     held = held.groupBy("fp").agg(F.collect_set("x").alias("xs"))  # of COLD places, with two stretches each at most
     few = held.select("xs", F.explode("xs").alias("x")).select("x", F.explode("xs").alias("y")).where("x.doc_id > y.doc_id")
-    few = few.select("x.rid", F.col("x.n").cast("long").alias("n"), F.col("y.rid").alias("to_rid"))
+    few = few.select("x.rid", F.col("x.n").cast("long").alias("n"), F.col("y.rid").alias("to_rid"), F.col("y.n").cast("long").alias("to_n"))
 
     windows = regions.where("size(hot) > 0").select("rid", "doc_id", "words", "hot").mapInArrow(_windows, "h long, doc_id long, rid long, n long")
-    first = windows.groupBy("h").agg(F.min(F.struct("doc_id", "rid")).alias("f"), F.max("doc_id").alias("last"), F.count("*").alias("rows")).where("f.doc_id < last")
-    first = materialize(first.select("h", "rows", F.col("f.doc_id").alias("to_doc"), F.col("f.rid").alias("to_rid")), "first")
-    many = keyed(windows, first, "h", 64).where("doc_id > to_doc").select("rid", "n", "to_rid")
-    whole = regions.where("copy_rid is not null").select("rid", F.size("words").cast("long").alias("n"), F.col("copy_rid").alias("to_rid"))
+    first = windows.groupBy("h").agg(F.min(F.struct("doc_id", "rid", "n")).alias("f"), F.max("doc_id").alias("last"), F.count("*").alias("rows")).where("f.doc_id < last")
+    first = materialize(first.select("h", "rows", F.col("f.doc_id").alias("to_doc"), F.col("f.rid").alias("to_rid"), F.col("f.n").alias("to_n")), "first")
+    many = keyed(windows, first, "h", 64).where("doc_id > to_doc").select("rid", "n", "to_rid", "to_n")
+    whole = regions.where("copy_rid is not null").select("rid", F.size("words").cast("long").alias("n"), F.col("copy_rid").alias("to_rid"), F.size("words").cast("long").alias("to_n"))
     return materialize(few.unionByName(many).unionByName(whole).distinct(), "routes")
 
 
@@ -201,10 +201,9 @@ def repeated_intervals(docs: DataFrame) -> DataFrame:
     """
     regions = _stretches(docs.where("doc_id is not null and text is not null"))
     routes = _routes(regions)
-    load = materialize(routes.groupBy("to_rid").agg(F.sum("n").alias("load"), F.count("*").alias("rows")), "load")
-    total, n = load.agg(F.sum("load"), F.count("*")).first()
-    indexed = (STRETCH + WINDOW) * n  # words at most
-    shards = max(1, -(-indexed // SHARD_WORDS), -(-(total or 0) // QUERY_WORDS))
+    load = materialize(routes.groupBy("to_rid").agg(F.sum("n").alias("load"), F.max("to_n").alias("to_n"), F.count("*").alias("rows")), "load")
+    total, indexed = load.agg(F.coalesce(F.sum("load"), F.lit(0)), F.coalesce(F.sum("to_n"), F.lit(0))).first()
+    shards = max(1, -(-indexed // SHARD_WORDS), -(-total // QUERY_WORDS))
     load = load.select("to_rid", "rows", F.expr(f"1 + load div {QUERY_WORDS // 2}").alias("parts"), F.pmod(F.xxhash64("to_rid"), F.lit(shards)).alias("shard"))
     sent = keyed(routes, load, "to_rid", 64).select("rid", "shard", F.pmod(F.xxhash64("rid"), F.col("parts")).alias("part")).distinct()
     sent = sent.join(regions.select("rid", "doc_id", "th", "start", "words"), "rid")

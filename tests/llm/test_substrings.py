@@ -134,7 +134,14 @@ def test_suffixes_and_ranks():
     for n in (1, 2, 7, 100):
         text = rng.integers(0, 3, n)
         want = sorted(range(n), key=lambda i: text[i:].tolist())
-        assert suffix_array(text).tolist() == want
+        order, common = suffix_array(text)
+        assert order.tolist() == want
+        for i in range(1, n):
+            a, b = text[want[i - 1] :], text[want[i] :]
+            k = min(len(a), len(b))
+            same = a[:k] == b[:k]
+            assert common[i] == (k if same.all() else int(same.argmin()))
+        assert common[0] == common[n] == -1
     sym = rng.integers(0, 9, 400)
     tree = WaveletTree(sym, 9)
     at, c = rng.integers(0, 401, 200), rng.integers(0, 9, 200)
