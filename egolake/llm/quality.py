@@ -2,10 +2,19 @@
 
 Lines are labelled by Viterbi decoding of a linear-chain conditional random field over line
 features; the share of words in content lines decides whether a text is retained.
+
+Only documents are labelled, not their lines, so the field is fitted by hard expectation
+maximisation: lines that are plainly one kind (many signs, repeats, capitals; sentences of
+prose) are seeds, the others start with the label of their document, are labelled anew by the
+field, and keep that while their document as a whole still agrees with its label. Chains in
+which lines of a rejected document stand before, in and after those of a retained one teach
+the field where labels change.
 """
 
 from __future__ import annotations
 
+from zlib import crc32
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -13,14 +22,14 @@ from pyspark.sql import functions as F
 
 from . import crf
 from .bytetext import _BYTE, chunks, gram_starts, prefix_sums, spans_hash, word_spans
-from .sample import SAMPLE_DOCS, labelled_sample
+from .sample import learnt, sample_rows
 from .work import python_ready
 
 CONTENT, BOILERPLATE = 0, 1
 #: Least share of words in content lines of a retained text.
 CONTENT_SHARE = 0.5
-#: Documents and lines of each that the field is fitted on.
-FIT_DOCS, FIT_LINES = 3000, 60
+#: Documents that the field is fitted on, consecutive lines of each (from a place by a hash), rounds, and chains of two documents.
+FIT_DOCS, FIT_LINES, ROUNDS, SPLICED = 3000, 60, 2, 600
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -107,25 +116,60 @@ def _line_features(raw, line_start, line_end, line_words, word_line, h, length,
     return np.stack([np.asarray(v, float) for v in f], axis=1)
 
 
-def fitted(docs: DataFrame, labels: DataFrame, limit: int = FIT_DOCS) -> crf.Chain:
-    """A field fitted on the first FIT_LINES lines of at most ``limit`` labelled documents.
+def seeds(x: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Labels of lines whose features (see ``_line_features``) leave no doubt, -1 for others."""
+    symbol, caps, repeat, cover, bang, pipes, dup, stop = (x[:, k] for k in (6, 7, 8, 9, 10, 11, 12, 13))
+    out = np.full(len(x), -1)
+    out[(words >= 8) & (stop > 0) & (symbol == 0) & (caps == 0) & (repeat == 0) & (cover < 0.2) & (bang == 0) & (dup == 0)] = CONTENT
+    out[(symbol >= 0.3) | (pipes > 0) | (bang > 0) & (caps > 0) | (repeat > 0) & (words > 4) | (dup > 0)] = BOILERPLATE
+    return out
 
-    Lines have no labels of their own: those of documents of quality 1 count as content,
-    those of quality 0 as boilerplate. Without both kinds every line is content.
-    """
-    rows = labelled_sample(docs, labels, "quality", limit)
-    chains = []
+
+def learn(rows: list[tuple]) -> crf.Chain:
+    """Fit the field on (doc_id, text, quality) rows; without both kinds every line is content."""
+    empty = crf.Chain(np.zeros((N_FEATURES, 2)), np.zeros((2, 2)), np.zeros(2))
+    if len({r[2] for r in rows}) < 2:
+        return empty
+    docs = []  # features, words, label of the document, seeds
     at = 0
     for _, to, raw, offs in chunks(pa.array([r[1] for r in rows], pa.string())):
         got = measure(raw, offs)
         for i in range(len(offs) - 1):
-            a = got["bounds"][i]
-            b = min(got["bounds"][i + 1], a + FIT_LINES)
-            chains.append((got["x"][a:b], np.full(b - a, CONTENT if rows[at + i][2] else BOILERPLATE)))
+            a, b = got["bounds"][i], got["bounds"][i + 1]
+            a += crc32(str(rows[at + i][0]).encode()) % max(1, b - a - FIT_LINES + 1)
+            b = min(b, a + FIT_LINES)
+            x, words = got["x"][a:b], got["line_words"][a:b]
+            docs.append((x, words, CONTENT if rows[at + i][2] else BOILERPLATE, seeds(x, words)))
         at = to
-    if len({int(y[0]) for _, y in chains if len(y)}) < 2:
-        return crf.Chain(np.zeros((N_FEATURES, 2)), np.zeros((2, 2)), np.zeros(2))
-    return crf.fit(chains, 2, N_FEATURES)
+
+    def agrees(y: np.ndarray, words: np.ndarray, kind: int) -> bool:
+        return (words[y == CONTENT].sum() >= CONTENT_SHARE * words.sum()) == (kind == CONTENT)
+
+    start = [np.where(s < 0, kind, s) for _, _, kind, s in docs]
+    start = [y if agrees(y, words, kind) else np.full(len(y), kind) for y, (_, words, kind, _) in zip(start, docs, strict=True)]
+    now = start
+    for k in range(ROUNDS + 1):
+        chains = [(x, y) for (x, *_), y in zip(docs, now, strict=True)]
+        good, bad = ([c for c, d in zip(chains, docs, strict=True) if d[2] == kind] for kind in (CONTENT, BOILERPLATE))
+        for i, ((gx, gy), (bx, by)) in enumerate(zip(good[:SPLICED], (bad * (1 + len(good) // len(bad)))[:SPLICED], strict=False)):
+            cut = (0, len(gy) // 2, len(gy))[i % 3]
+            n = min(len(by), 1 + i % 4)
+            chains.append((np.concatenate([gx[:cut], bx[:n], gx[cut:]]), np.concatenate([gy[:cut], by[:n], gy[cut:]])))
+        field = crf.fit(chains, 2, N_FEATURES)
+        if k == ROUNDS:
+            return field
+        bounds = np.concatenate([[0], np.cumsum([len(y) for y in now])])
+        found = crf.viterbi(np.concatenate([d[0] for d in docs]) @ field.emit, bounds, field)
+        now = []
+        for i, (_, words, kind, s) in enumerate(docs):
+            y = np.where(s < 0, found[bounds[i] : bounds[i + 1]], s)
+            now.append(y if agrees(y, words, kind) else start[i])
+    return empty
+
+
+def fitted(docs: DataFrame, labels: DataFrame, limit: int = FIT_DOCS) -> crf.Chain:
+    """``learn`` on at most ``limit`` labelled documents, in one task of an executor."""
+    return learnt(sample_rows(docs, labels, "quality", limit), learn)
 
 
 def quality(docs: DataFrame, labels: DataFrame, limit: int = FIT_DOCS, share: float = CONTENT_SHARE) -> DataFrame:

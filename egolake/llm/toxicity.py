@@ -8,8 +8,6 @@ don't count for it.
 
 from __future__ import annotations
 
-import pickle
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,7 +15,7 @@ from pyspark.sql import functions as F
 
 from . import trees
 from .bytetext import chunks, lower_ascii, prefix_sums, spans_hash, word_spans, _BYTE
-from .sample import SAMPLE_DOCS, fold, sample_rows
+from .sample import SAMPLE_DOCS, fold, learnt, sample_rows
 from .work import python_ready
 
 # Insults in plain form, and pronouns that address the reader.
@@ -171,14 +169,7 @@ def score_column(column, model: dict) -> np.ndarray:
 
 def fitted(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_DOCS) -> dict:
     """``train`` on the sample, in one task of an executor, so the driver only gets the model."""
-    python_ready(docs.sparkSession)
-
-    def run(batches):
-        rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(sorted(rows)))], pa.binary())], names=["model"])
-
-    got = sample_rows(docs, labels, "toxic", limit).select("doc_id", "text", "y").repartition(1).mapInArrow(run, "model binary").collect()
-    return pickle.loads(got[0].model) if got else train([])
+    return learnt(sample_rows(docs, labels, "toxic", limit), train)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_DOCS) -> DataFrame:
