@@ -15,11 +15,6 @@ class Chain(NamedTuple):
     first: np.ndarray
 
 
-def _lse(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis=axis, keepdims=True)
-    return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
-
-
 def fit(chains: list[tuple[np.ndarray, np.ndarray]], labels: int, width: int, steps: int = 120, l2: float = 1e-3, rate: float = 0.15) -> Chain:
     """Penalised maximum likelihood by full-batch Adam from (features, labels) chains.
 
@@ -31,32 +26,35 @@ def fit(chains: list[tuple[np.ndarray, np.ndarray]], labels: int, width: int, st
         return Chain(*par)
     size = np.array([len(y) for _, y in chains])
     n, t_max, total = len(chains), size[0], size.sum()
-    x, y = np.zeros((n, t_max, width)), np.zeros((n, t_max), np.int64)
-    for i, (a, b) in enumerate(chains):
-        x[i, : len(b)], y[i, : len(b)] = a, b
-    live = np.arange(t_max)[None, :] < size[:, None]
-    hot = np.eye(labels)[y] * live[..., None]
-    seen = [np.einsum("ntd,ntl->dl", x, hot), np.einsum("nti,ntj->ij", hot[:, :-1], hot[:, 1:]), hot[:, 0].sum(0)]
+    x = np.concatenate([a for a, _ in chains]).astype(np.float32)
+    at = (np.repeat(np.arange(n), size), np.arange(total) - np.repeat(np.cumsum(size) - size, size))  # chain, place
+    y = np.concatenate([b for _, b in chains])
+    hot = np.zeros((n, t_max, labels))
+    hot[(*at, y)] = 1
+    seen = [x.T.astype(np.float64) @ np.eye(labels)[y], np.einsum("nti,ntj->ij", hot[:, :-1], hot[:, 1:]), hot[:, 0].sum(0)]
     m, v = [np.zeros_like(p) for p in par], [np.zeros_like(p) for p in par]
     count = [int((size > t).sum()) for t in range(t_max)]
     for step in range(1, steps + 1):
-        e = x @ par[0]
-        e[:, 0] += par[2]
-        alpha, beta = np.zeros_like(e), np.zeros_like(e)
-        alpha[:, 0] = e[:, 0]
-        for t in range(1, t_max):
+        e = np.zeros((t_max, n, labels))
+        e[at[1], at[0]] = x @ par[0].astype(np.float32)
+        e[0] += par[2]
+        e = np.exp(e - e.max(2, keepdims=True))
+        move = np.exp(par[1] - par[1].max())
+        # forward and backward sums, of which every step's are scaled to add up to 1
+        alpha, beta, scale = np.zeros_like(e), np.ones_like(e), np.ones((t_max, n, 1))
+        for t in range(t_max):
             k = count[t]
-            alpha[:, t] = alpha[:, t - 1]  # a chain that has ended keeps its last value
-            alpha[:k, t] = _lse(alpha[:k, t - 1, :, None] + par[1], 1) + e[:k, t]
-        z = _lse(alpha[:, -1], 1)
+            now = e[0] if t == 0 else (alpha[t - 1, :k] @ move) * e[t, :k]
+            scale[t, :k] = now.sum(1, keepdims=True)
+            alpha[t, :k] = now / scale[t, :k]
         pair = np.zeros_like(par[1])
         for t in range(t_max - 1, 0, -1):
             k = count[t]
-            after = (e[:k, t] + beta[:k, t])[:, None, :] + par[1]
-            pair += np.exp(alpha[:k, t - 1, :, None] + after - z[:k, None, None]).sum(0)
-            beta[:k, t - 1] = _lse(after, 2)
-        p = np.exp(alpha + beta - z[:, None, None]) * live[..., None]
-        grad = [np.einsum("ntd,ntl->dl", x, p), pair, p[:, 0].sum(0)]
+            after = beta[t, :k] * e[t, :k] / scale[t, :k]
+            pair += alpha[t - 1, :k].T @ after
+            beta[t - 1, :k] = after @ move.T
+        p = alpha * beta
+        grad = [x.T @ p[at[1], at[0]].astype(np.float32), pair * move, p[0].sum(0)]
         for i in range(3):
             g = (grad[i] - seen[i]) / total + l2 * par[i]
             m[i] = 0.9 * m[i] + 0.1 * g
