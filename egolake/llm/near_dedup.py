@@ -63,8 +63,12 @@ def minima(shingles: np.ndarray) -> np.ndarray:
 
 
 def pack(low: np.ndarray) -> np.ndarray:
-    """The low BITS bits of each minimum, PER_LONG of them in a 64-bit word."""
-    part = (low & np.uint64((1 << BITS) - 1)).reshape(LONGS, PER_LONG)
+    """The low BITS bits of each minimum, PER_LONG of them in a 64-bit word.
+
+    Minima are mixed first: the low bits of a product depend on the low bits of its factors
+    alone, so those of unequal shingles would agree in all minima or in none.
+    """
+    part = (mix(low) & np.uint64((1 << BITS) - 1)).reshape(LONGS, PER_LONG)
     return np.bitwise_or.reduce(part << (np.arange(PER_LONG, dtype=np.uint64) * np.uint64(BITS)), axis=1)
 
 
