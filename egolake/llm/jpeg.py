@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytetext import column_bytes
-from .work import python_ready
+from .work import materialize, python_ready
 
 #: Bytes that a payload is a multiple of (nine blocks of 64), macroblocks in a row, rows at most.
 UNIT, ROW_MCUS, MAX_ROWS = 576, 16, 4000
@@ -493,6 +493,7 @@ def tensors(media: DataFrame) -> DataFrame:
 def digest(docs: DataFrame) -> DataFrame:
     """What is read back from the media column of ``docs``, and a feature of its tensor.
 
+    The column is written as a table into the shared folder, and digested from there.
     The feature is height x width, the mean of each channel, and a hash of the RGB tensor.
     Null and empty texts are one unit of bytes 255. Rows that repeat are separate rows.
     """
@@ -511,4 +512,5 @@ def digest(docs: DataFrame) -> DataFrame:
                     c.append(v)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c, k) for c, k in zip(out, kinds[2:], strict=True))], names=names)
 
-    return media_column(docs).mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    stored = materialize(media_column(docs), "media")
+    return stored.mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
