@@ -9,6 +9,8 @@ from . import jpeg, mixing, near_dedup, pieces, quality, secret_scan, sharding,
 
 #: The model file of op10, by its name in the folder of public tokenizers.
 PIECE_MODEL = "piece_bpe_32k.model"
+#: Bytes of a shard of op6, small enough that buckets split at every scale.
+SHARD_BYTES = 256 << 10
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +56,7 @@ def op5_progressive_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard of every document."""
-    return sharding.sharded(_docs(spark, sf_dir).select("doc_id", "text")).drop("text")
+    return sharding.sharded(_docs(spark, sf_dir).select("doc_id", "text"), SHARD_BYTES).drop("text")
 
 
 def op7_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,4 +78,4 @@ def piece_model() -> str:
 _ALL = (op1_minhash_near_dedup, op2_quality_rules, op3_toxicity, op4_mix_sources, op5_progressive_jpeg, op6_shard_documents, op7_warc_records, op8_substring_dedup, op9_secret_scan, op10_sentencepiece)
 QUERIES = {f.__name__: f for f in _ALL}
 
-ORACLE_SQL: dict[str, str] = {"op1_minhash_near_dedup": near_dedup.oracle(3, 85, 100), "op6_shard_documents": sharding.ORACLE, "op7_warc_records": warc.ORACLE, "op8_substring_dedup": substring_dedup.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op1_minhash_near_dedup": near_dedup.oracle(3, 85, 100), "op4_mix_sources": mixing.ORACLE, "op6_shard_documents": sharding.oracle(SHARD_BYTES), "op7_warc_records": warc.ORACLE, "op8_substring_dedup": substring_dedup.ORACLE}

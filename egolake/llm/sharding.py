@@ -55,15 +55,16 @@ def sharded(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
         todo = todo.withColumn("cell", _prefix(bits)).join(hinted(over, F.lit(16)), "cell", "left_semi").select("_h", "n_bytes")
         low, bits = bits + 1, min(HASH_BITS, bits + 6)
     directory = found.select("bits", "cell", "depth", F.expr("lpad(bin(p), depth, '0')").alias("shard"), "shard_bytes")
-    used = [r.bits for r in directory.select("bits").distinct().collect()]
-    parts = [rows.withColumn("cell", _prefix(b)).join(hinted(directory.where(F.col("bits") == b).drop("bits"), F.lit(64)), "cell") for b in used]
-    if not parts:
-        empty = rows.limit(0)
-        return empty.select("row.*", "n_bytes", F.lit(0).alias("depth"), F.lit("").alias("shard"), F.lit(0).cast("long").alias("shard_bytes"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(*(F.col("row").getField(c).alias(c) for c in kept), "n_bytes", "depth", "shard", "shard_bytes")
+    used = sorted(r.bits for r in directory.select("bits").distinct().collect())
+    if not used:
+        return rows.limit(0).select("row.*", "n_bytes", F.lit(0).alias("depth"), F.lit("").alias("shard"), F.lit(0).cast("long").alias("shard_bytes"))
+    # one pass over the rows: the cells of each width are looked up in turn
+    out = rows
+    for b in used:
+        part = directory.where(F.col("bits") == b).select(F.col("cell").alias(f"_c{b}"), F.struct("depth", "shard", "shard_bytes").alias(f"_s{b}"))
+        out = out.join(hinted(part, F.lit(96)), _prefix(b) == F.col(f"_c{b}"), "left")
+    out = out.withColumn("_s", F.coalesce(*(F.col(f"_s{b}") for b in used)))
+    return out.select(*(F.col("row").getField(c).alias(c) for c in kept), "n_bytes", "_s.depth", "_s.shard", "_s.shard_bytes")
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT_BYTES) -> None:
@@ -72,11 +73,12 @@ def write_shards(docs: DataFrame, path: str, limit: int = LIMIT_BYTES) -> None:
     out.repartition("shard").write.partitionBy("shard").parquet(path)
 
 
-ORACLE = f"""
+def oracle(limit: int) -> str:
+    return f"""
 WITH d AS (SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM documents),
 u AS (SELECT d.*, k::INT AS k, h >> ({HASH_BITS} - k)::INT AS p FROM d, range(0, {HASH_BITS + 1}) r(k)),
 s AS (SELECT k, p, sum(n_bytes)::BIGINT AS shard_bytes FROM u GROUP BY k, p),
 f AS (SELECT u.doc_id, u.n_bytes, u.k AS depth, u.p, s.shard_bytes, row_number() OVER (PARTITION BY u.doc_id ORDER BY u.k) AS rn
-      FROM u JOIN s ON u.k = s.k AND u.p = s.p WHERE s.shard_bytes <= {LIMIT_BYTES} OR u.k = {HASH_BITS})
+      FROM u JOIN s ON u.k = s.k AND u.p = s.p WHERE s.shard_bytes <= {limit} OR u.k = {HASH_BITS})
 SELECT doc_id, n_bytes, depth, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(p), depth, '0') END AS shard, shard_bytes FROM f WHERE rn = 1
 """
