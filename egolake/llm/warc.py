@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .work import hinted, materialize, python_ready
+from .work import keyed, materialize, python_ready
 
 #: Bytes of a payload piece, and least payload that revisits refer to.
 CHUNK, LEAST_REVISIT = 64 << 10, 1000
@@ -28,21 +28,21 @@ CHUNKS = "record_id string, chunk long, data binary, crc long, digest string"
 RECORDS = "record_id string, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
-def record_uri(page_id) -> str:
-    return "urn:uuid:" + str(uuid.uuid5(uuid.NAMESPACE_OID, str(page_id)))
+def record_uri(row_id: str) -> str:
+    return "urn:uuid:" + str(uuid.uuid5(uuid.NAMESPACE_OID, row_id))
 
 
 def _line(text: str) -> str:
     return "".join(f"%{ord(c):02X}" if c in "\r\n" else c for c in text)
 
 
-def record_rows(row_id: str, page_id, url, payload: memoryview, digest: str, refers_to) -> Iterator[tuple]:
-    """The chunk rows of one record; ``digest`` is the SHA-1 of the payload, as bare hex."""
+def record_rows(row_id: str, page_id, url, payload: memoryview, digest: str, refers_to, refers_row: str | None = None) -> Iterator[tuple]:
+    """The chunk rows of one record; ``digest`` is the SHA-1 of the payload, as bare hex, ``refers_row`` the row of refers_to."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     revisit = refers_to is not None
-    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <{record_uri(page_id)}>", f"WARC-Date: {DATE}"]
+    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <{record_uri(row_id)}>", f"WARC-Date: {DATE}"]
     head += [f"WARC-Target-URI: {_line(url)}"] if url else []
-    head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <{record_uri(refers_to)}>", f"X-Refers-To-Page: {refers_to}"] if revisit else []
+    head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <{record_uri(refers_row)}>", f"X-Refers-To-Page: {refers_to}"] if revisit else []
     head += [f"X-Page: {page_id}"] if page_id is not None else []
     head += ["WARC-Payload-Digest: sha1:" + base64.b32encode(bytes.fromhex(digest)).decode(), "Content-Type: application/http; msgtype=response", f"Content-Length: {len(http) + (0 if revisit else len(payload))}"]
     sha, crc = hashlib.sha1(), 0
@@ -114,21 +114,26 @@ def write_archive(pages: DataFrame) -> DataFrame:
     bytes, those that bear the greatest page_id are responses and others revisit it; smaller
     payloads and rows of null page_id are responses. Null urls are left out. Columns other
     than page_id, url and html are ignored; rows that repeat are records of their own.
+
+    A row's identifier is its page_id and its place in the scan of ``pages``, so it is the same
+    whenever the same files are read; the archive is written once before it is read.
     """
     python_ready(pages.sparkSession)
     body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), body.alias("body")).withColumn("digest", F.sha1("body"))
-    large = rows.where(F.octet_length("body") >= LEAST_REVISIT).groupBy("digest").agg(F.max("page_id").alias("newest"), F.count("*").alias("n"))
-    twice = materialize(large.where("n > 1").select("digest", "newest"), "equal")
-    rows = rows.join(hinted(twice, F.lit(64)), "digest", "left")
-    rows = rows.select(F.expr("uuid()").alias("row_id"), "page_id", "url", "body", "digest", F.expr("case when page_id < newest then newest end").alias("refers_to"))
+    rows = rows.withColumn("row_id", F.concat_ws("-", F.coalesce(F.col("page_id").cast("string"), F.lit("none")), F.monotonically_increasing_id().cast("string")))
+    large = rows.where(F.octet_length("body") >= LEAST_REVISIT).groupBy("digest").agg(F.max(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "row_id"))).alias("newest"), F.count("*").alias("rows"))
+    twice = materialize(large.where("rows > 1 and newest is not null").select("digest", F.col("newest.page_id").alias("newest"), F.col("newest.row_id").alias("newest_row"), "rows"), "equal")
+    rows = keyed(rows, twice, "digest", 160)
+    older = F.col("page_id") < F.col("newest")
+    rows = rows.select("row_id", "page_id", "url", "body", "digest", F.when(older, F.col("newest")).alias("refers_to"), F.when(older, F.col("newest_row")).alias("refers_row"))
 
     def write(batches):
         def records():
             for b in batches:
                 body = b.column(3)
-                for i, (r, p, u, d, to) in enumerate(zip(*(b.column(k).to_pylist() for k in (0, 1, 2, 4, 5)), strict=True)):
-                    yield from record_rows(r, p, u, memoryview(body[i].as_buffer()), d, to)
+                for i, (r, p, u, d, to, row) in enumerate(zip(*(b.column(k).to_pylist() for k in (0, 1, 2, 4, 5, 6)), strict=True)):
+                    yield from record_rows(r, p, u, memoryview(body[i].as_buffer()), d, to, row)
 
         yield from _batches(records(), _CHUNK_SCHEMA)
 
