@@ -25,16 +25,40 @@ BROADCAST_BYTES = 48 << 20
 HEAVY_KEYS = 20_000
 
 _own: list[str] = []
+_used: dict[str, object] = {}  # folders of this process's steps, and the file systems they are on
 
 
 def work_root(spark: SparkSession) -> str:
+    """The folder of this process's steps in the shared folder, which is removed when the process ends.
+
+    Where ``spark.checkpoint.dir`` is empty, a local folder serves a local master; on a cluster
+    every executor would write to a disk of its own, so that is refused.
+    """
     base = spark.conf.get("spark.checkpoint.dir", "")
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         if not _own:
             _own.append(tempfile.mkdtemp(prefix="egolake-work-"))
             atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
         base = "file://" + _own[0]
-    return base.rstrip("/") + "/egolake"
+    root = f"{base.rstrip('/')}/egolake-{spark.sparkContext.applicationId}-{os.getpid()}"
+    if root not in _used:
+        if not _used:
+            atexit.register(clean)
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        _used[root] = path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+    return root
+
+
+def clean() -> None:
+    """Remove the tables that this process's steps have written; frames that read them can't be used any more."""
+    while _used:
+        _, (system, path) = _used.popitem()
+        try:
+            system.delete(path, True)
+        except Exception:  # noqa: BLE001, S112  the process ends, and its JVM may have before
+            continue
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -78,9 +78,8 @@ def test_run_keeps_the_mixture_over_part_files(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxRecordsPerFile")
     block, slot_of = mixing.BLOCK, {}
     blocks = [-(-n // block) for n in sizes.values()]
-    for i, first, stop, start, period, offsets in mixing.phases(blocks, [n**0.5 for n in sizes.values()]):
-        for j in range(stop - first):
-            slot_of[start + j // len(offsets) * period + offsets[j % len(offsets)]] = list(sizes)[i], first + j
+    for slot, (i, j) in enumerate(mixing.schedule(blocks, [n**0.5 for n in sizes.values()])):
+        slot_of[slot] = list(sizes)[i], j
     want = {}
     for slot, (source, j) in slot_of.items():
         want |= {slot * block + k: source for k in range(min(block, sizes[source] - j * block))}
