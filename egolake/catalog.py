@@ -331,9 +331,9 @@ SELECT t.object_id, coalesce(g.label, 'unknown object ' || t.object_id) AS label
 FROM (SELECT object_id, max(score) AS top FROM s GROUP BY 1) t LEFT JOIN g ON g.object_id = t.object_id""")
 def label_assignment(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
-    names = c.select("c_mktsegment").distinct().withColumn("label_index", (F.row_number().over(Window.orderBy("c_mktsegment")) - 1).cast("long"))
+    every = c.agg(F.array_sort(F.collect_set("c_mktsegment")).alias("all"))  # the labels of a job, one row
     scores = c.groupBy(F.col("c_nationkey").alias("object_id"), "c_mktsegment").agg(F.round(F.avg("c_acctbal") / 10000, 9).alias("score"))
-    scores = scores.join(F.broadcast(names), "c_mktsegment").select(F.lit(0).alias("episode"), "object_id", "label_index", F.col("c_mktsegment").alias("label"), "score")
+    scores = scores.crossJoin(F.broadcast(every)).select(F.lit(0).alias("episode"), "object_id", (F.array_position("all", F.col("c_mktsegment")) - 1).alias("label_index"), F.col("c_mktsegment").alias("label"), "score")
     return selection.assign_labels(scores, ["episode"]).drop("episode")
 
 
@@ -396,7 +396,18 @@ def savgol_interior(spark, sf_dir):
     return out.where("frame_index >= 4 and frame_index < _n - 4").select("track", "frame_index", F.round(F.col("value")[0], 6).alias("value"))
 
 
-@query()
+def _savgol_sql() -> str:
+    """Fits of every run of rows with a value of 40 or more: the window's place is held inside the run."""
+    taps = {n: sequence.savgol_taps(n, 2) for n in (5, 7, 9)}
+    case = " ".join(f"WHEN {n} THEN [{', '.join('[' + ', '.join(f'{v!r}::DOUBLE' for v in row.tolist()) + ']' for row in taps[n])}]" for n in taps)
+    return f"""WITH {USER_FRAMES_SQL}, a AS (SELECT track, frame_index, value, value >= 40 AS ok FROM uf), b AS (SELECT *, sum((ok AND NOT coalesce(p, false))::INT) OVER (PARTITION BY track ORDER BY frame_index) AS run FROM (SELECT *, lag(ok) OVER (PARTITION BY track ORDER BY frame_index) AS p FROM a)),
+g AS (SELECT track, run, list(value ORDER BY frame_index) AS v, min(frame_index) AS f0, count(*) AS n FROM b WHERE ok GROUP BY ALL HAVING count(*) >= 5),
+h AS (SELECT track, v, f0, n, least(9, n - (n + 1) % 2)::INT AS w FROM g), i AS (SELECT *, unnest(range(0, n)) AS p FROM h), j AS (SELECT *, least(greatest(p - w // 2, 0), n - w) AS s, CASE w {case} END AS taps FROM i),
+k AS (SELECT track, f0 + p AS frame_index, list_sum(list_transform(range(1, w + 1), lambda x: taps[(p - s + 1)::INT][x] * v[(s + x)::INT])) AS m FROM j)
+SELECT a.track, a.frame_index, round(coalesce(k.m, a.value), 6) AS value FROM a LEFT JOIN k ON k.track = a.track AND k.frame_index = a.frame_index"""
+
+
+@query(_savgol_sql())
 def savgol_smoothing(spark, sf_dir):
     rows = user_frames(spark, sf_dir).select("track", "frame_index", F.col("value").alias("v"), F.array("value").alias("value"))
     return sequence.smoothed(rows, T, "value", F.col("v") >= 40).select("track", "frame_index", F.round(F.col("value")[0], 6).alias("value"))
@@ -444,7 +455,13 @@ def trusted_anchors(spark, sf_dir):
     return out.select("track", "frame_index", F.round("recent_area", 6).alias("recent_area"), "reasons", "accepted")
 
 
-@query()
+@query(f"""WITH RECURSIVE {BOXES_SQL}, t AS (SELECT frame_index % 50 AS track, frame_index // 50 AS f, ordinal, x0, y0, x1, y1, detector_score AS c FROM bx),
+u AS (SELECT *, dense_rank() OVER (PARTITION BY track ORDER BY f) AS n FROM t),
+r(track, n, f, ordinal, c, x0, y0, x1, y1) AS (SELECT track, n, f, ordinal, c, x0, y0, x1, y1 FROM (SELECT *, row_number() OVER (PARTITION BY track ORDER BY c DESC, ordinal) AS k FROM u WHERE n = 1) WHERE k = 1
+ UNION ALL SELECT track, n, f, ordinal, c, x0, y0, x1, y1 FROM (SELECT *, row_number() OVER (PARTITION BY track ORDER BY score DESC, ordinal) AS k FROM (SELECT u.*, CASE WHEN u.f - r.f > 12 THEN u.c ELSE
+  0.55::DOUBLE * u.c + 0.30::DOUBLE * coalesce(o / nullif((u.x1 - u.x0) * (u.y1 - u.y0) + (r.x1 - r.x0) * (r.y1 - r.y0) - o, 0), 0) + 0.15::DOUBLE * greatest(0, 1 - sqrt(power((u.x0 + u.x1 - r.x0 - r.x1) / 2, 2) + power((u.y0 + u.y1 - r.y0 - r.y1) / 2, 2)) / 170.0::DOUBLE) END AS score
+  FROM r JOIN u ON u.track = r.track AND u.n = r.n + 1, LATERAL (SELECT greatest(least(u.x1, r.x1) - greatest(u.x0, r.x0), 0) * greatest(least(u.y1, r.y1) - greatest(u.y0, r.y0), 0) AS o))) WHERE k = 1)
+SELECT track, f AS frame_index, ordinal, round(c, 6) AS confidence FROM r""")
 def temporal_selection(spark, sf_dir):
     rows = boxes(spark, sf_dir).select((F.col("frame_index") % 50).alias("track"), (F.col("frame_index") / 50).cast("long").alias("frame_index"), "ordinal", F.col("box_xyxy").alias("box"), F.col("detector_score").alias("confidence"))
     return folds.temporal_selection(rows, T, 150, 80).select("track", "frame_index", "ordinal", F.round("confidence", 6).alias("confidence"))
@@ -677,40 +694,3 @@ def distinct_prompts(spark, sf_dir):
 
 
 ORACLE_SQL["distinct_prompts"] = ORACLE_SQL["distinct_prompts"].replace("list_distinct(", "list_sort(list_distinct(").replace("x <> '')) AS", "x <> ''))) AS")
-
-
-# masks in numpy ------------------------------------------------------------
-
-
-def _grids(spark, sf_dir):
-    """A 12 x 16 mask for each user, from the hours and values of events."""
-    rows = table(spark, sf_dir, "events").where("value > 90")
-    return rows.groupBy(F.col("user_id").alias("track")).agg(F.array_sort(F.collect_set((F.col("event_id") * 7 % 192).cast("int"))).alias("cells"))
-
-
-def _cells(cells):
-    import numpy as np
-
-    mask = np.zeros(192, bool)
-    mask[list(cells)] = True
-    return mask.reshape(12, 16)
-
-
-@query()
-def primary_component(spark, sf_dir):
-    def run(batches):
-        for b in batches:
-            got = [kernels.primary_component(_cells(c)) for c in b["cells"]]
-            yield pd.DataFrame({"track": b["track"], "area": [int(m.sum()) for m, _ in got], "fraction": [round(f, 9) for _, f in got]})
-
-    return _grids(spark, sf_dir).mapInPandas(run, "track long, area long, fraction double")
-
-
-@query()
-def mask_fuse(spark, sf_dir):
-    def run(batches):
-        for b in batches:
-            got = [kernels.fused(m := _cells(c), m[::-1]) for c in b["cells"]]
-            yield pd.DataFrame({"track": b["track"], "area": [None if m is None else int(m.sum()) for m, _, _ in got], "agreement": [round(a, 9) for _, a, _ in got], "fraction": [round(f, 9) for _, _, f in got]}).astype({"area": "Int64"})
-
-    return _grids(spark, sf_dir).mapInPandas(run, "track long, area long, agreement double, fraction double")

@@ -80,10 +80,11 @@ def projected(points: Column, focal: Column, width, height) -> Column:
     return F.transform(points, lambda p: project(p, focal, width, height))
 
 
-def focal_length(configured: Column, profile: Column, width, height) -> Column:
+def focal_length(configured: Column, profile: Column, profile_id: Column, policy: Column, width, height) -> Column:
     """Struct (focal, provenance): as configured, else of the profile, else 0.8 of the longer side."""
     guess = 0.8 * F.greatest(_d(width), _d(height))
-    origin = F.when(configured.isNotNull(), "configured").when(profile.isNotNull(), "camera_profile").otherwise("estimated")
+    named = F.format_string("camera profile %s (%s)", F.coalesce(profile_id, F.lit("unknown")), F.coalesce(policy, F.lit("profile policy")))
+    origin = F.when(configured.isNotNull(), "user-supplied calibrated effective focal length").when(profile.isNotNull(), named).otherwise("image-size heuristic")
     return F.struct(F.coalesce(configured, profile, guess).alias("focal"), origin.alias("provenance"))
 
 

@@ -18,33 +18,33 @@ def rle_decode(counts: Column) -> Column:
 
 def rle_encode(pixels: Column) -> Column:
     """Counts of runs; the first run is of zeros and may be empty. No pixels give no runs."""
-    start = F.struct(F.array().cast("array<int>").alias("runs"), F.lit(0).alias("now"), F.lit(0).alias("n"))
-
-    def step(s: Column, p: Column) -> Column:
-        same = p.cast("int") == s["now"]
-        return F.struct(
-            F.when(same, s["runs"]).otherwise(F.concat(s["runs"], F.array(s["n"]))).alias("runs"),
-            p.cast("int").alias("now"),
-            F.when(same, s["n"] + 1).otherwise(F.lit(1)).alias("n"),
-        )
-
-    end = lambda s: F.concat(s["runs"], F.array(s["n"]))
-    return F.when(F.size(pixels) > 0, F.aggregate(pixels, start, step, end)).otherwise(F.array().cast("array<int>"))
+    n = F.size(pixels)
+    change = F.filter(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: (i < n) & (F.get(pixels, i).cast("int") != F.get(pixels, i - 1).cast("int")))
+    ends = F.concat(change, F.array(n))
+    runs = F.transform(ends, lambda e, i: e - F.coalesce(F.get(change, i - 1), F.lit(0)))
+    zero = F.when(F.get(pixels, F.lit(0)).cast("int") == 1, F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
+    return F.when(n > 0, F.concat(zero, runs)).otherwise(F.array().cast("array<int>"))
 
 
 def rle_box(counts: Column, height) -> Column:
     """x, y, width, height of a mask from its runs; zeros for an empty mask.
 
-    A run that passes the end of a column spans all rows.
+    A run that passes the end of a column spans all rows. One pass over the runs.
     """
-    h = height if isinstance(height, Column) else F.lit(height)
-    ends = F.transform(F.sequence(F.lit(1), F.size(counts)), lambda i: F.aggregate(F.slice(counts, 1, i), F.lit(0).cast("long"), lambda s, c: s + c))
-    runs = F.filter(F.zip_with(counts, F.transform(ends, lambda e, i: F.struct(e.alias("end"), i.alias("i"))), lambda c, e: F.struct((e["end"] - c).alias("a"), (e["end"] - 1).alias("b"), (e["i"] % 2).alias("odd"), c.alias("n"))), lambda r: (r["odd"] == 1) & (r["n"] > 0))
-    column = lambda p: F.floor(p / h)
-    whole = lambda r: column(r["a"]) != column(r["b"])
-    x0, x1 = F.array_min(F.transform(runs, lambda r: column(r["a"]))), F.array_max(F.transform(runs, lambda r: column(r["b"])))
-    y0 = F.array_min(F.transform(runs, lambda r: F.when(whole(r), F.lit(0).cast("long")).otherwise(r["a"] % h)))
-    y1 = F.array_max(F.transform(runs, lambda r: F.when(whole(r), (h - 1).cast("long")).otherwise(r["b"] % h)))
+    h = (height if isinstance(height, Column) else F.lit(height)).cast("long")
+    none = F.lit(None).cast("long")
+    start = F.struct(F.lit(0).cast("long").alias("p"), F.lit(False).alias("on"), *(none.alias(k) for k in ("x0", "x1", "y0", "y1")))
+
+    def step(s: Column, c: Column) -> Column:
+        a, b = s["p"], s["p"] + c - 1
+        xa, xb = F.floor(a / h), F.floor(b / h)
+        seen = s["on"] & (c > 0)
+        low = lambda k, v: F.when(seen, F.least(s[k], v)).otherwise(s[k]).alias(k)
+        high = lambda k, v: F.when(seen, F.greatest(s[k], v)).otherwise(s[k]).alias(k)
+        y0 = F.when(xa != xb, F.lit(0).cast("long")).otherwise(a % h)
+        y1 = F.when(xa != xb, h - 1).otherwise(b % h)
+        return F.struct((s["p"] + c).alias("p"), (~s["on"]).alias("on"), low("x0", xa), high("x1", xb), low("y0", y0), high("y1", y1))
+
     zero = F.lit(0).cast("long")
-    box = F.array(x0, y0, x1 - x0 + 1, y1 - y0 + 1)
-    return F.when(F.size(runs) > 0, box).otherwise(F.array(zero, zero, zero, zero))
+    box = lambda s: F.when(s["x0"].isNull(), F.array(zero, zero, zero, zero)).otherwise(F.array(s["x0"], s["y0"], s["x1"] - s["x0"] + 1, s["y1"] - s["y0"] + 1))
+    return F.aggregate(counts, start, step, box)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import Protocol
 
 import numpy as np
@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .operators.images import nearest, resized
 from .operators.kernels import encode_rle, mask_box
 
 
@@ -25,6 +26,8 @@ class ModelBackend(Protocol):
     def depth(self, image: np.ndarray) -> np.ndarray: ...
     def track(self, images: Sequence[np.ndarray], seed: np.ndarray) -> list[tuple[np.ndarray, float]]: ...
     def hands(self, image: np.ndarray) -> list[dict]: ...
+    def reconstruct(self, image: np.ndarray, box: Sequence[float], right: bool) -> dict: ...
+    def board(self, image: np.ndarray, columns: int, rows: int) -> np.ndarray | None: ...
 
 
 class StubBackend:
@@ -67,17 +70,62 @@ class StubBackend:
         return [(seed, 1.0) for _ in images]
 
     def hands(self, image):
-        return [{"handedness": "left", "box": [4.0, 4.0, 30.0, 30.0], "confidence": 0.9}]
+        return [{"handedness": "left", "box": [4.0, 4.0, 30.0, 30.0], "confidence": 0.9, "keypoints": [[17.0, 17.0, 0.9]] * 21}]
+
+    def reconstruct(self, image, box, right):
+        r = self._rng([round(float(v)) for v in box], right)
+        return {"joints": r.normal(scale=0.04, size=(21, 3)).tolist(), "camera": [4.0, 0.0, 0.0]}
+
+    def board(self, image, columns, rows):
+        return None
 
 
 CANDIDATE = "frame_index bigint, ordinal bigint, prompt string, detector_score double, sam2_mask_score double, box_xyxy array<double>, mask_rle struct<size: array<int>, counts: array<int>>, clip_logits map<string,double>, area_fraction double, aspect_ratio double, embedding array<double>"
+#: Devices that a model may run on, the best first.
+DEVICES = ("cuda", "mps", "cpu")
+
+
+def chosen_device(name: str, available: Sequence[str]) -> str:
+    """The device named, or with "auto" the best that is there; cpu always is."""
+    have = {*available, "cpu"}
+    if name == "auto":
+        return next(d for d in DEVICES if d in have)
+    if name not in have:
+        raise ValueError(f"device {name} is not available")
+    return name
+
+
+def with_fallback(call: Callable[[str], object], device: str) -> tuple[object, str]:
+    """What ``call`` gives on the device, or on the cpu where the device fails; and where it ran."""
+    try:
+        return call(device), device
+    except RuntimeError:
+        if device == "cpu":
+            raise
+        return call("cpu"), "cpu"
+
+
+def with_label_scores(df: DataFrame, logits: str = "clip_logits") -> DataFrame:
+    """Adds clip_scores (the softmax of the logits of each label) and clip_best_prompt (the first label of the greatest logit).
+
+    ``logits`` is a map in the order of labels; empty maps give an empty map and null.
+    """
+    keys, values = F.map_keys(logits), F.map_values(logits)
+    top = F.array_max(values)
+    powers = F.transform(values, lambda v: F.exp(v - top))
+    total = F.aggregate(powers, F.lit(0.0), lambda s, v: s + v)
+    scores = F.map_from_arrays(keys, F.transform(powers, lambda v: v / total))
+    best = F.element_at(keys, F.array_position(values, top).cast("int"))
+    return df.withColumn("clip_scores", scores).withColumn("clip_best_prompt", F.when(F.size(logits) > 0, best))
 
 
-def candidates(frames: DataFrame, backend: ModelBackend, prompts: Sequence[str], labels: Sequence[str] = (), least_side: float = 3.0) -> DataFrame:
+def candidates(frames: DataFrame, backend: ModelBackend, prompts: Sequence[str], labels: Sequence[str] = (), least_side: float = 3.0, longest: int | None = None) -> DataFrame:
     """Candidates of frames (frame_index, content): every prompt's boxes, their masks, embeddings and logits.
 
     Frames are batched to workers; the stride filter belongs before this, as nothing is pushed
-    through it. ordinal is the order within a frame: by prompt, box and mask.
+    through it. ordinal is the order within a frame: by prompt, box and mask. Models see
+    images whose longer side is at most ``longest``; boxes and masks are brought back to the
+    size of the frame.
     """
 
     def run(batches):
@@ -85,6 +133,10 @@ def candidates(frames: DataFrame, backend: ModelBackend, prompts: Sequence[str],
             rows = []
             for index, content in zip(b["frame_index"], b["content"], strict=True):
                 image, n = backend.decode(content), 0
+                full = image.shape[:2]
+                scale = min(1.0, longest / max(full)) if longest else 1.0
+                if scale < 1:
+                    image = np.stack([np.rint(resized(image[..., k], round(full[0] * scale), round(full[1] * scale))) for k in range(3)], -1).astype(np.uint8)
                 h, w = image.shape[:2]
                 for prompt in prompts:
                     for box, score in backend.detect(image, prompt):
@@ -95,8 +147,9 @@ def candidates(frames: DataFrame, backend: ModelBackend, prompts: Sequence[str],
                             x, y, bw, bh = mask_box(mask)
                             crop = image[y : y + bh, x : x + bw] if bw else image
                             wide, tall = max(bw, 1), max(bh, 1)
+                            whole = mask if scale == 1 else nearest(mask, *full)
                             rows.append((
-                                index, n, prompt, score, mask_score, [float(x), float(y), float(x + bw), float(y + bh)], {"size": [h, w], "counts": encode_rle(mask)},
+                                index, n, prompt, score, mask_score, [v / scale for v in (x, y, x + bw, y + bh)], {"size": list(full), "counts": encode_rle(whole)},
                                 dict(zip(labels, backend.logits(crop, labels), strict=True)), float(mask.mean()), max(wide / tall, tall / wide), [float(v) for v in backend.embed(crop)],
                             ))
                             n += 1

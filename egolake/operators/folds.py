@@ -1,48 +1,72 @@
 """Ordered folds: operators whose next step depends on what they decided before.
 
-A fold runs over the sorted rows of one key; keys run in parallel.
+The rows of a key stream through one task in order, batch by batch, with the state of the last
+row carried along; keys run in parallel. Time is in proportion to rows and memory to a batch,
+however long a key is.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from statistics import median
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 # Gates of trusted anchors.
 LOW_ANCHOR, LOW_SEMANTIC, COLLAPSE_RATIO, COLLAPSE_SCORE, HISTORY = 0.40, 0.50, 0.15, 0.72, 5
 
 
-def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str], start: Column, step, name: str) -> DataFrame:
-    """One row per row, with ``name``: the state after it. step(state, row) gives the next state.
+def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str], step: Callable, result: str) -> DataFrame:
+    """(keys, order, values) of every row with the columns ``result`` (DDL) that ``step`` gives it.
 
-    The state is kept for every row in an array next to the last one, so ``start`` must have
-    the type of what ``step`` returns.
+    step(state, values) returns the next state and the result as a tuple; the state is None
+    before a key's first row. Equal rows by ``order`` come in no order of their own.
     """
-    rows = F.array_sort(F.collect_list(F.struct(*order, *values)))
-    grouped = df.groupBy(*keys).agg(rows.alias("_rows"))
-    begin = F.struct(start.alias("now"), F.filter(F.array(start), lambda _: F.lit(False)).alias("all"))
-
-    def go(s: Column, r: Column) -> Column:
-        now = step(s["now"], r)
-        return F.struct(now.alias("now"), F.concat(s["all"], F.array(now)).alias("all"))
-
-    states = F.aggregate("_rows", begin, go, lambda s: s["all"])
-    out = grouped.select(*keys, F.explode(F.arrays_zip(F.col("_rows").alias("r"), states.alias("s"))).alias("x"))
-    return out.select(*keys, *(F.col(f"x.r.{c}").alias(c) for c in [*order, *values]), F.col("x.s").alias(name))
+    columns = [*keys, *order, *values]
+    rows = df.select(*columns).repartition(*keys).sortWithinPartitions(*keys, *order)
+    added = StructType.fromDDL(result)
+    kinds = [to_arrow_type(f.dataType) for f in added.fields]
+    names = [*columns, *added.fieldNames()]
+    n, first = len(keys), len(keys) + len(order)
+
+    def run(batches):
+        now, state = None, None
+        for b in batches:
+            lists = [c.to_pylist() for c in b.columns]
+            got = []
+            for key, row in zip(zip(*lists[:n], strict=True), zip(*lists[first:], strict=True), strict=True):
+                if key != now:
+                    now, state = key, None
+                state, out = step(state, row)
+                got.append(out)
+            more = list(zip(*got, strict=True)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(c, k) for c, k in zip(more, kinds, strict=True))], names=names)
+
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, *added.fields]))
 
 
 def increasing_times(df: DataFrame, keys: Sequence[str], time: str = "timestamp_s", index: str = "frame_index", fallback: float = 1 / 30) -> DataFrame:
     """Strictly increasing times: one that doesn't exceed the last is the last plus the median step."""
-    gap = F.col(time) - F.lag(time).over(Window.partitionBy(*keys).orderBy(index))
+    whole = Window.partitionBy(*keys)
+    gap = F.col(time) - F.lag(time).over(whole.orderBy(index))
     stepped = df.withColumn("_g", gap)
-    mid = stepped.groupBy(*keys).agg(F.coalesce(F.median(F.when(F.col("_g") > 0, F.col("_g"))), F.lit(fallback)).alias("_step"))
-    joined = df.join(mid, list(keys)).select(*keys, index, F.col(time).alias("_t"), "_step")
-    later = lambda s, r: F.when(s.isNull() | (r["_t"] > s), r["_t"]).otherwise(s + r["_step"])
-    out = fold(joined, keys, [index], ["_t", "_step"], F.lit(None).cast("double"), later, "time")
+    step = F.coalesce(F.median(F.when(F.col("_g") > 0, F.col("_g"))).over(whole), F.lit(fallback))
+    rows = stepped.withColumn("_step", step).select(*keys, index, F.col(time).alias("_t"), "_step")
+
+    def later(last, row):
+        t, width = row
+        if last is not None and t is not None:
+            t = t if t > last else last + width
+        elif last is not None:
+            t = last + width
+        return t, (t,)
+
+    out = fold(rows, keys, [index], ["_t", "_step"], later, "time double")
     return out.select(*keys, index, F.col("_t").alias(time), "time")
 
 
@@ -52,16 +76,16 @@ def smoothed_bounds(df: DataFrame, keys: Sequence[str], index: str = "frame_inde
     without values (null low) are 0 and 1."""
     low = F.coalesce("low", F.lit(0.0))
     high = F.when(F.col("low").isNull(), F.lit(1.0)).when(F.col("high") <= F.col("low"), F.col("low") + 1e-6).otherwise(F.col("high"))
-    rows = df.withColumn("empty", F.col("low").isNull()).withColumn("high", high).withColumn("low", low)
-    start = F.lit(None).cast("struct<low: double, high: double>")
+    rows = df.withColumn("fresh", F.col("low").isNull() | F.coalesce("reset", F.lit(False))).withColumn("high", high).withColumn("low", low)
 
-    def step(s: Column, r: Column) -> Column:
-        fresh = s.isNull() | r["reset"] | r["empty"]
-        mixed = lambda k: F.when(fresh, r[k]).otherwise((1 - alpha) * s[k] + alpha * r[k])
-        return F.struct(mixed("low").alias("low"), mixed("high").alias("high"))
+    def mix(last, row):
+        *now, fresh = row
+        if last is not None and not fresh:
+            now = [(1 - alpha) * a + alpha * b for a, b in zip(last, now, strict=True)]
+        return now, tuple(now)
 
-    out = fold(rows, keys, [index], ["low", "high", "reset", "empty"], start, step, "bounds")
-    return out.select(*keys, index, F.col("bounds.low").alias("normalization_low"), F.col("bounds.high").alias("normalization_high"))
+    out = fold(rows, keys, [index], ["low", "high", "fresh"], mix, "normalization_low double, normalization_high double")
+    return out.select(*keys, index, "normalization_low", "normalization_high")
 
 
 def trusted_anchors(df: DataFrame, keys: Sequence[str], index: str = "frame_index") -> DataFrame:
@@ -73,54 +97,51 @@ def trusted_anchors(df: DataFrame, keys: Sequence[str], index: str = "frame_inde
     """
     gate = F.when(F.col("has_confidence"), LOW_ANCHOR).otherwise(LOW_SEMANTIC)
     rows = df.withColumn("low", ~F.col("manual") & (F.col("score") < gate)).withColumn("area", F.col("area").cast("double"))
-    start = F.struct(F.array().cast("array<double>").alias("history"), F.lit(0.0).alias("recent"), F.lit(False).alias("fragment"))
-
-    def median(a: Column) -> Column:
-        s, n = F.array_sort(a), F.size(a)
-        return (F.element_at(s, F.floor((n + 1) / 2).cast("int")) + F.element_at(s, F.floor((n + 2) / 2).cast("int"))) / 2
 
-    def step(s: Column, r: Column) -> Column:
-        known = F.size(s["history"]) > 0
-        recent = F.when(known, median(s["history"])).otherwise(r["area"])
-        fragment = known & ~r["manual"] & (r["area"] < COLLAPSE_RATIO * recent) & (r["score"] < COLLAPSE_SCORE)
-        more = F.concat(s["history"], F.array(r["area"]))
-        more = F.when(F.size(more) > HISTORY, F.slice(more, 2, HISTORY)).otherwise(more)
-        return F.struct(F.when(r["low"] | fragment, s["history"]).otherwise(more).alias("history"), recent.alias("recent"), fragment.alias("fragment"))
+    def judge(history, row):
+        area, score, manual, low = row
+        history = history or ()
+        recent = median(history) if history else area
+        fragment = bool(history) and not manual and area < COLLAPSE_RATIO * recent and score < COLLAPSE_SCORE
+        return (history if low or fragment else (*history, area)[-HISTORY:]), (recent, fragment)
 
-    out = fold(rows, keys, [index], ["area", "score", "manual", "has_confidence", "low"], start, step, "s")
+    out = fold(rows, keys, [index], ["area", "score", "manual", "low", "has_confidence"], lambda s, r: judge(s, r[:4]), "recent_area double, fragment boolean")
     name = F.when(F.col("has_confidence"), "low_anchor_confidence").otherwise("low_semantic_score")
-    reasons = F.array_compact(F.array(F.when(F.col("low"), name), F.when(F.col("s.fragment"), F.lit("fragment_area_collapse"))))
-    out = out.select(*keys, index, "area", "score", F.col("s.recent").alias("recent_area"), reasons.alias("reasons"))
+    reasons = F.array_compact(F.array(F.when(F.col("low"), name), F.when(F.col("fragment"), F.lit("fragment_area_collapse"))))
+    out = out.select(*keys, index, "area", "score", "recent_area", reasons.alias("reasons"))
     return out.withColumn("accepted", F.size("reasons") == 0)
 
 
+def best_detection(boxes: np.ndarray, confidence: np.ndarray, last: np.ndarray | None, diagonal: float) -> int:
+    """The place of the most confident box; with a last box, of the best of 0.55 confidence + 0.30 overlap
+    + 0.15 nearness of centres. Of equals the first."""
+    score = confidence
+    if last is not None:
+        both = np.maximum(np.minimum(boxes[:, 2:], last[2:]) - np.maximum(boxes[:, :2], last[:2]), 0).prod(1)
+        union = np.maximum(boxes[:, 2:] - boxes[:, :2], 0).prod(1) + np.maximum(last[2:] - last[:2], 0).prod() - both
+        iou = np.divide(both, union, out=np.zeros_like(both), where=union > 0)
+        away = np.linalg.norm((boxes[:, :2] + boxes[:, 2:] - last[:2] - last[2:]) / 2, axis=1)
+        score = 0.55 * confidence + 0.30 * iou + 0.15 * np.maximum(0.0, 1 - away / diagonal)
+    return int(np.argmax(score))
+
+
 def temporal_selection(df: DataFrame, keys: Sequence[str], width: int, height: int, reach: int = 12, index: str = "frame_index") -> DataFrame:
     """Of the detections (box, confidence, ordinal) of each frame the one that goes on from before.
 
-    Without a chosen box in the ``reach`` frames before, the most confident; else the best of
-    0.55 confidence + 0.30 overlap + 0.15 nearness of centres. Of equals the first.
+    Without a chosen box in the ``reach`` frames before, the most confident; else the best by
+    ``best_detection``. A frame's detections are gathered; frames are folded in order.
     """
-    schema = df.schema
     diagonal = max(float(np.hypot(width, height)), 1.0)
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([index, "ordinal"])
-        boxes = np.stack(rows["box"].to_list()).astype(float) if len(rows) else np.zeros((0, 4))
-        conf, frame = rows["confidence"].to_numpy(), rows[index].to_numpy()
-        chosen, last = [], None
-        for at in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(frame)) + 1):
-            score, b = conf[at], boxes[at]
-            if last is not None and frame[at[0]] - last[0] <= reach:
-                p = last[1]
-                both = np.maximum(np.minimum(b[:, 2:], p[2:]) - np.maximum(b[:, :2], p[:2]), 0).prod(1)
-                union = np.maximum(b[:, 2:] - b[:, :2], 0).prod(1) + np.maximum(p[2:] - p[:2], 0).prod() - both
-                iou = np.divide(both, union, out=np.zeros_like(both), where=union > 0)
-                away = np.linalg.norm((b[:, :2] + b[:, 2:] - p[:2] - p[2:]) / 2, axis=1)
-                score = 0.55 * score + 0.30 * iou + 0.15 * np.maximum(0.0, 1 - away / diagonal)
-            i = at[int(np.argmax(score))]
-            chosen.append(i)
-            if np.isfinite(boxes[i]).all():
-                last = frame[i], boxes[i]
-        return rows.iloc[chosen]
-
-    return df.groupBy(*keys).applyInPandas(run, schema)
+    other = [c for c in df.columns if c not in (*keys, index, "ordinal")]
+    frames = df.groupBy(*keys, index).agg(F.array_sort(F.collect_list(F.struct("ordinal", *other))).alias("_rows"))
+    frames = frames.withColumn("_boxes", F.col("_rows.box")).withColumn("_conf", F.col("_rows.confidence")).withColumn("_at", F.col(index))
+
+    def choose(last, row):
+        boxes, confidence, frame = np.array(row[0], float), np.array(row[1], float), row[2]
+        near = last[1] if last is not None and frame - last[0] <= reach else None
+        i = best_detection(boxes, confidence, near, diagonal)
+        return ((frame, boxes[i]) if np.isfinite(boxes[i]).all() else last), (i,)
+
+    chosen = fold(frames, keys, [index], ["_boxes", "_conf", "_at", "_rows"], choose, "_i int")
+    row = F.element_at("_rows", F.col("_i") + 1)
+    return chosen.select(*keys, index, row.alias("_r")).select(*(F.col(c) if c in (*keys, index) else F.col(f"_r.{c}").alias(c) for c in df.columns))

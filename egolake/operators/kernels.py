@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from .images import edges, grey, grown, nearest, optical_flow, resized, sobel, warped
+
 
 def packed(mask: np.ndarray) -> bytes:
     return np.packbits(mask, axis=1).tobytes()
@@ -125,10 +127,10 @@ def normalised_depth(raw: np.ndarray, previous: tuple[float, float] | None, alph
     return np.nan_to_num(out).astype(np.float32), low, high
 
 
-def bilateral(depth: np.ndarray, diameter: int = 5, colour: float = 0.08, space: float = 5.0) -> np.ndarray:
-    """Edge-preserving smoothing: neighbours weigh by distance and by likeness."""
+def bilateral(depth: np.ndarray, diameter: int = 5, colour: float = 0.035, space: float = 3.0) -> np.ndarray:
+    """Edge-preserving smoothing in 0 to 1: neighbours weigh by distance and by likeness."""
     r = diameter // 2
-    wide = np.pad(depth, r, mode="edge")
+    wide = np.pad(depth, r, mode="reflect" if min(depth.shape) > r else "edge")
     total, weight = np.zeros_like(depth, dtype=float), np.zeros_like(depth, dtype=float)
     for dy in range(-r, r + 1):
         for dx in range(-r, r + 1):
@@ -137,14 +139,62 @@ def bilateral(depth: np.ndarray, diameter: int = 5, colour: float = 0.08, space:
             near = wide[r + dy : r + dy + depth.shape[0], r + dx : r + dx + depth.shape[1]]
             w = np.exp(-(dy * dy + dx * dx) / (2 * space**2) - (near - depth) ** 2 / (2 * colour**2))
             total, weight = total + w * near, weight + w
-    return (total / weight).astype(depth.dtype)
+    return np.clip(total / weight, 0, 1).astype(depth.dtype)
+
+
+# The size flow is taken at, and the gates and the weight of temporal stabilisation.
+FLOW_SIZE, FLOW_LIMIT, RESIDUAL_LIMIT, DELTA_LIMIT, DEPTH_EDGE, EDGE_LOW, EDGE_HIGH, BLEND = (216, 384), 45.0, 32.0, 0.14, 0.16, 70, 150, 0.28
+
+
+def stabilised(depth: np.ndarray, light: np.ndarray, last: tuple[np.ndarray, np.ndarray] | None, flow=optical_flow, size: tuple[int, int] = FLOW_SIZE) -> tuple[np.ndarray, dict[str, float], np.ndarray, np.ndarray]:
+    """Depth drawn towards the last frame's where that can be trusted; measures; and both small.
+
+    ``last`` are the last frame's small depth (stabilised) and small grey image; None resets.
+    Five gates must hold: the last depth is known there, the motion short, the image alike, the
+    depth alike, and no edge of image or depth near.
+    """
+    small_light, small = resized(light, *size), resized(depth, *size)
+    measures = {"flow_valid_fraction": 0.0, "stabilization_blend_fraction": 0.0, "photometric_residual": 0.0}
+    if last is None or last[0].shape != small.shape:
+        return depth, measures, small, small_light
+    motion = flow(small_light, last[1])
+    x, y = np.meshgrid(np.arange(size[1], dtype=float), np.arange(size[0], dtype=float))
+    x, y = x + motion[..., 0], y + motion[..., 1]
+    before, residual = warped(last[0], x, y, np.nan), np.abs(small_light - warped(last[1], x, y, 0.0))
+    near = grown(edges(small_light, EDGE_LOW, EDGE_HIGH) | (np.hypot(*sobel(small)) > DEPTH_EDGE), 3)
+    known = np.isfinite(before)
+    valid = known & (np.linalg.norm(motion, axis=2) < FLOW_LIMIT) & (residual < RESIDUAL_LIMIT) & (np.abs(small - np.where(known, before, np.inf)) < DELTA_LIMIT) & ~near
+    drawn = np.where(valid, (1 - BLEND) * small + BLEND * np.where(known, before, 0.0), small)
+    guard = grown(edges(resized(small_light, *depth.shape, False), EDGE_LOW, EDGE_HIGH), 5)
+    out = np.clip(depth + np.where(guard, 0.0, resized(drawn - small, *depth.shape, False)), 0, 1).astype(np.float32)
+    part = float(valid.mean())
+    measures = {"flow_valid_fraction": part, "stabilization_blend_fraction": part, "photometric_residual": float(np.median(residual[valid] if valid.any() else residual))}
+    return out, measures, drawn, small_light
+
+
+def object_motion(first: np.ndarray, second: np.ndarray, mask: np.ndarray | None, flow=optical_flow) -> float:
+    """The median motion of a mask's pixels (of ``second``) from one grey image to the next, without the camera's median motion."""
+    if mask is None or not mask.any():
+        return 0.0
+    motion = flow(first, second)
+    own = np.linalg.norm(motion - np.median(motion.reshape(-1, 2), axis=0), axis=2)
+    small = nearest(mask, *first.shape)
+    return float(np.median(own[small])) if small.any() else 0.0
+
+
+# The size at which frames are compared.
+THUMBNAIL = (90, 160)
+
+
+def thumbnail(image: np.ndarray) -> np.ndarray:
+    return resized(image, *THUMBNAIL)
 
 
 def frame_statistics(image: np.ndarray, raw_depth: np.ndarray) -> dict[str, float]:
-    """Fractions of invalid depth and of glare, and the variance of the Laplacian of the grey image."""
-    grey = image.astype(float) @ np.array([0.299, 0.587, 0.114])
-    wide = np.pad(grey, 1, mode="reflect")
-    laplacian = wide[:-2, 1:-1] + wide[2:, 1:-1] + wide[1:-1, :-2] + wide[1:-1, 2:] - 4 * grey
+    """Fractions of invalid depth and of glare, and the variance of the Laplacian of the small grey image."""
+    light = thumbnail(grey(image))
+    wide = np.pad(light, 1, mode="reflect")
+    laplacian = wide[:-2, 1:-1] + wide[2:, 1:-1] + wide[1:-1, :-2] + wide[1:-1, 2:] - 4 * light
     glare = (image.max(2) >= 252) & (image.mean(2) >= 210)
     return {"invalid_fraction": float((~np.isfinite(raw_depth)).mean()), "glare_fraction": float(glare.mean()), "sharpness": float(laplacian.var())}
 
@@ -161,7 +211,11 @@ def square_crop(image: np.ndarray, mask: np.ndarray, pad: float = 0.15, white: b
     return out
 
 
-def upscaled(mask: np.ndarray, height: int, width: int) -> np.ndarray:
-    """Nearest neighbours."""
-    ys, xs = np.arange(height) * mask.shape[0] // height, np.arange(width) * mask.shape[1] // width
-    return mask[np.ix_(ys, xs)]
+def masked_crop(image: np.ndarray, mask: np.ndarray, pad: float = 0.18) -> np.ndarray:
+    """The object on white within its padded box; the whole image for an empty mask."""
+    x, y, w, h = mask_box(mask)
+    if not w:
+        return image
+    k = int(max(w, h) * pad)
+    ys, xs = slice(max(0, y - k), min(image.shape[0], y + h + k)), slice(max(0, x - k), min(image.shape[1], x + w + k))
+    return np.where(mask[ys, xs, None], image[ys, xs], 255).astype(image.dtype)

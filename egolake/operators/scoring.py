@@ -58,10 +58,9 @@ def object_prompt_anchors(df: DataFrame, keys: Sequence[str], tie: Sequence[str]
     score is the median quality over frames, representative marks the frame of best quality.
     """
     best = best_per_group(df.withColumn("quality", quality()), [*keys, "frame_index"], F.col("quality"), tie)
-    best = best.where("quality > -1")
-    score = best.groupBy(*keys).agg(F.median("quality").alias("score"))
-    first = Window.partitionBy(*keys).orderBy(F.col("quality").desc(), "frame_index")
-    return best.withColumn("representative", F.row_number().over(first) == 1).join(score, list(keys))
+    whole = Window.partitionBy(*keys)
+    first = whole.orderBy(F.col("quality").desc(), "frame_index")
+    return best.where("quality > -1").withColumn("representative", F.row_number().over(first) == 1).withColumn("score", F.median("quality").over(whole))
 
 
 def label_candidates(df: DataFrame, keys: Sequence[str], logit: Column, tie: Sequence[str], k: int = 8) -> DataFrame:
@@ -79,6 +78,11 @@ def diverse_clusters(clusters: DataFrame, keys: Sequence[str], limit: int, thres
     return suppress_overlaps(clusters, keys, ["score", "cluster"], [True, False], threshold, limit=limit)
 
 
+def usable_anchors(df: DataFrame) -> DataFrame:
+    """Anchors that were found and have a mask."""
+    return df.where(F.col("found") & (F.col("area") > 0))
+
+
 def latest_anchors(df: DataFrame, keys: Sequence[str], ordinal: str) -> DataFrame:
     """Of anchors of the same object and frame the last one given."""
     return last_per_group(df, [*keys, "frame_index"], ordinal)

@@ -13,7 +13,11 @@ from ..functions.geometry import box_iou
 
 
 def best_per_group(df: DataFrame, keys: Sequence[str], score: Column, tie: Sequence[str]) -> DataFrame:
-    """The row of highest score of each group; of equals the first by ``tie``."""
+    """The row of highest score of each group; of equals the first by ``tie``.
+
+    Spark limits the groups of a ranking window before the shuffle (WindowGroupLimit), so a
+    task sends one row of each of its groups.
+    """
     return top_k(df, keys, score, tie, 1)
 
 

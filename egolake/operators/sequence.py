@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -94,24 +93,24 @@ def smoothed(df: DataFrame, keys: Sequence[str], value: str, valid: Column, inde
     """Savitzky-Golay smoothing of valid runs of at least five rows, order 2, up to nine taps.
 
     The first and last half window take the fit of the outermost whole window. ``value`` is an
-    array of numbers. A run is one group; runs of fewer rows and other rows stay.
+    array of numbers; runs of fewer rows and other rows stay. Windows over one partitioning by
+    the keys: a row sees the eight rows before and after it.
     """
     df = with_runs(df, keys, valid, index, "_run")
-    df = df.withColumn("_size", F.when(F.col("_run").isNotNull(), F.count("*").over(Window.partitionBy(*keys, "_run"))))
-    long_, rest = df.where("_size >= 5").drop("_size"), df.where("_size is null or _size < 5")
-
-    def smooth(run: pd.DataFrame) -> pd.DataFrame:
-        run = run.sort_values(index)
-        x = np.stack(run[value].to_list()).astype(float)
-        n = len(x)
-        size = min(9, n if n % 2 else n - 1)
-        taps, half = savgol_taps(size, min(2, size - 1)), size // 2
-        out = np.stack([np.tensordot(taps[half], x[i : i + size], 1) for i in range(n - size + 1)])
-        head, tail = taps[:half] @ x[:size], taps[half + 1 :] @ x[n - size :]
-        return run.assign(**{value: list(np.concatenate([head, out, tail]))})
-
-    done = long_.groupBy(*keys, "_run").applyInPandas(smooth, long_.schema)
-    return done.drop("_run").unionByName(rest.drop("_run", "_size"))
+    run = Window.partitionBy(*keys, "_run")
+    df = df.withColumn("_n", F.count("*").over(run)).withColumn("_p", F.row_number().over(run.orderBy(index)) - 1)
+    df = df.withColumn("_near", F.collect_list(value).over(run.orderBy(index).rowsBetween(-8, 8)))
+    width = F.least(F.lit(9), F.col("_n") - (F.col("_n") + 1) % 2).cast("int")
+    begin = F.least(F.greatest(F.col("_p") - F.floor(width / 2), F.lit(0)), F.col("_n") - width)  # of the window in the run
+    table = lambda n: F.array(*(F.array(*map(F.lit, row.tolist())) for row in savgol_taps(n, 2)))
+    taps = F.when(width == 9, table(9)).when(width == 7, table(7)).otherwise(table(5))
+    taps = F.element_at(taps, (F.col("_p") - begin + 1).cast("int"))
+    window = F.slice(F.col("_near"), (begin - F.col("_p") + F.least(F.col("_p"), F.lit(8)) + 1).cast("int"), width)
+    zero = F.transform(value, lambda x: F.lit(0.0))
+    fit = F.aggregate(F.arrays_zip(window.alias("v"), taps.alias("a")), zero, lambda s, x: F.zip_with(s, x["v"], lambda p, q: p + x["a"] * q))
+    kind = df.schema[value].dataType
+    out = df.withColumn(value, F.when(F.col("_run").isNotNull() & (F.col("_n") >= 5), fit.cast(kind)).otherwise(F.col(value)))
+    return out.drop("_run", "_n", "_p", "_near")
 
 
 def with_slope(df: DataFrame, keys: Sequence[str], value: str, time: str, active: Column, name: str, index: str = "frame_index") -> DataFrame:
@@ -201,6 +200,11 @@ def keyframes(df: DataFrame, stride: int, index: str = "frame_index") -> DataFra
     return df.where(F.col(index) % stride == 0)
 
 
+def in_range(df: DataFrame, count: Column, index: str = "frame_index") -> DataFrame:
+    """Frames from 0 to below ``count``."""
+    return df.where((F.col(index) >= 0) & (F.col(index) < count))
+
+
 def expanded(intervals: DataFrame, start: str = "start_frame", end: str = "end_frame", name: str = "frame_index") -> DataFrame:
     """A row for each frame of inclusive intervals."""
     return intervals.withColumn(name, F.explode(F.sequence(start, end)))

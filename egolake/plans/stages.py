@@ -7,6 +7,7 @@ import os
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +52,11 @@ class ProcessConfig:
         chosen = [x.strip() for x in (objects or labels) if x.strip()]
         if len({x.casefold() for x in chosen}) < len(chosen):
             raise ValueError("a label is given twice")
+        if camera is None or not str(camera).strip():
+            raise ValueError("a camera is needed")
+        focal = rest.get("focal_length_px")
+        if focal is not None and not focal > 0:
+            raise ValueError("a focal length must be positive")
         limit = rest.pop("max_auto_objects", 8)
         return cls(video, output, camera, target_labels=tuple(chosen), object_mode=bool(objects), max_auto_objects=min(limit, len(chosen)) if chosen else limit, **rest)
 
@@ -128,6 +134,50 @@ def progress(rows: DataFrame, every: int, frame_count: int) -> DataFrame:
     return rows.agg(F.count_distinct("frame_index").alias("completed")).withColumn("total", F.lit(total).cast("long"))
 
 
+def _document(path: str) -> dict:
+    try:
+        with open(path) as f:
+            found = json.load(f)
+    except (OSError, ValueError):
+        return {}
+    return found if isinstance(found, dict) else {}
+
+
+def status_report(job: str) -> dict:
+    """The stages of a job's folder that are done with its present configuration, and what others have so far.
+
+    Partial work of a stage is a table of checkpoints (``resumed``) beside a document that says
+    how many there are to be, or one document with its rows.
+    """
+    work, config_hash = f"{job}/.work", str(_document(f"{job}/manifest.json").get("config_hash", ""))
+    names = sorted(os.listdir(work)) if os.path.isdir(work) else []
+    done = {n.removesuffix(".done.json"): str(_document(f"{work}/{n}").get("config_hash", "")) == config_hash for n in names if n.endswith(".done.json")}
+    partial: dict[str, dict] = {}
+    # The names under which progress is reported.
+    for stage, unit in (("anchors", "keyframes"), ("tracks", "anchor_intervals"), ("depth", "frames"), ("hands", "frames")):
+        doc = _document(f"{work}/{stage}_progress.json")
+        table = f"{work}/{stage}_progress"
+        signature = doc.get("signature", {})
+        if not doc and not os.path.isdir(table):
+            continue
+        rows = doc["rows"] if "rows" in doc else _checkpointed(table, str(signature.get("config_hash", config_hash)))
+        found = {f"completed_{unit}": len(rows) if isinstance(rows, list) else rows}
+        every = max(int(signature.get("every", 1)), 1)
+        if "frame_count" in signature:
+            found[f"total_{unit}"] = -(-int(signature["frame_count"]) // every)
+        if stage == "depth":
+            found["source_stride"] = every
+        partial[stage] = found
+    return {"result": job, "config_hash": config_hash or None, "completed_stages": done, "partial_checkpoints": partial, "resume": "run process again with the same arguments"}
+
+
+def _checkpointed(table: str, signature: str) -> int:
+    """Rows of a checkpoint, from the footers of its files."""
+    folder = f"{table}/{signature}"
+    files = [f"{folder}/{f}" for f in os.listdir(folder) if f.endswith(".parquet")] if os.path.isdir(folder) else []
+    return sum(pq.read_metadata(f).num_rows for f in files)
+
+
 def upsert_seeds(seeds: DataFrame, new: DataFrame) -> DataFrame:
     """Seeds with those of the same label (trimmed, in lower case) and frame replaced."""
     name = lambda d: F.lower(F.trim(d["label"]))

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from egolake import catalog
+from egolake import catalog, catalog_video  # noqa: F401
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="test tables are not here")
