@@ -103,9 +103,8 @@ def placed_hands(found: DataFrame, focal: Column) -> DataFrame:
     return out.withColumn("landmarks_ok", landmarks_fit(F.col("points"), F.col("keypoints"), b))
 
 
-def hand_stage(frames: DataFrame, keys: Sequence[str], backend, focal: Column) -> tuple[DataFrame, DataFrame]:
-    """Trajectories of both hands, and the quality of every frame (keys, frame_index, timestamp_s, content)."""
-    placed = placed_hands(detected_hands(frames, keys, backend), focal)
+def hand_stage(frames: DataFrame, placed: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Trajectories of both hands, and the quality of every frame (keys, frame_index, timestamp_s), from ``placed_hands``."""
     spine = frames.select(*keys, "frame_index", "timestamp_s").withColumn("handedness", F.explode(F.array(*map(F.lit, SIDES))))
     side = [*keys, "handedness"]
     plausible = F.col("projection_ok") & F.col("landmarks_ok") & F.col("translation")[2].between(*DEPTH)

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
-from . import kernels
+from ..functions.values import PALETTE
+from . import images, kernels
 
 
 def by_row(df: DataFrame, inputs: Sequence[str], result: str, kernel: Callable[..., tuple]) -> DataFrame:
@@ -104,3 +105,46 @@ def crops(df: DataFrame, backend, counts: str = "counts", square: bool = True) -
         return out.tobytes(), out.shape[0], out.shape[1]
 
     return by_row(df, ["content", counts], "crop binary, crop_height int, crop_width int", kernel)
+
+
+def overlays(df: DataFrame, backend, masks: str = "masks") -> DataFrame:
+    """Adds preview: a PNG of each image (content) with its masks (structs object_id, counts) tinted and outlined by object."""
+
+    def kernel(content, some):
+        if content is None:
+            return (None,)
+        image = backend.decode(content)
+        for m in some or ():
+            if m["counts"] is not None:
+                image = images.overlay(image, kernels.decode_rle(m["counts"], *image.shape[:2]), PALETTE[m["object_id"] % len(PALETTE)])
+        return (images.png(image),)
+
+    return by_row(df, ["content", masks], "preview binary", kernel)
+
+
+# The colours of far and near depth.
+FAR_COLOUR, NEAR_COLOUR = (48, 18, 59), (249, 231, 33)
+
+
+def depth_previews(df: DataFrame, depth: str = "depth", height: str = "height", width: str = "width") -> DataFrame:
+    """Adds preview: a PNG of each depth map (float16, row by row) between two colours."""
+
+    def kernel(data, h, w):
+        if data is None:
+            return (None,)
+        return (images.png(images.colourised(np.frombuffer(data, np.float16).reshape(h, w).astype(float), FAR_COLOUR, NEAR_COLOUR)),)
+
+    return by_row(df, [depth, height, width], "preview binary", kernel)
+
+
+def mesh_previews(df: DataFrame, backend, faces: Sequence[Sequence[int]], colour: tuple[int, int, int] = PALETTE[0]) -> DataFrame:
+    """Adds preview: a PNG of each image (content) with a mesh (joints_camera, their points, and faces between them), far faces first."""
+    table = np.array(faces)
+
+    def kernel(content, vertices, points):
+        if content is None:
+            return (None,)
+        image = backend.decode(content)
+        return (images.png(images.drawn_mesh(image, np.array(vertices, float), np.array(points, float), table, colour) if vertices else image),)
+
+    return by_row(df, ["content", "joints_camera", "points"], "preview binary", kernel)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import box_iou
+from ..work import materialize
 
 
 def best_per_group(df: DataFrame, keys: Sequence[str], score: Column, tie: Sequence[str]) -> DataFrame:
@@ -62,35 +63,60 @@ def suppress_overlaps(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return kept.select(*(F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in df.columns))
 
 
-def greedy_matching(edges: DataFrame, keys: Sequence[str], left: str, right: str, score: str, same_side: bool = False) -> DataFrame:
+#: Edges of a group that one task matches; larger groups are first matched in rounds.
+GROUP_EDGES = 500_000
+
+
+def greedy_matching(edges: DataFrame, keys: Sequence[str], left: str, right: str, score: str, same_side: bool = False, limit: int = GROUP_EDGES) -> DataFrame:
     """Edges taken by (score, left, right) from high to low, each end once.
 
-    ``same_side``: both ends are of one set. A group of ``keys`` (an episode) is one task.
+    ``same_side``: both ends are of one set. While a group of ``keys`` (an episode) has more
+    than ``limit`` edges, rounds take every edge that is the best at both of its ends, which
+    the order would take too, and drop the edges of their ends; what is left of a group is
+    matched in one task. The edges are written once, so that they are not computed again.
     """
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([score, left, right], ascending=False)
+    k, rank = list(keys), F.struct(score, left, right)
+    rows = materialize(edges, "edges")
+    taken: DataFrame | None = None
+    while (rows.groupBy(*k).count().agg(F.max("count")).first()[0] or 0) > limit:
+        sides = [rows.select(*k, F.lit(0 if same_side else i).alias("_side"), F.col(c).alias("_end"), rank.alias("_rank")) for i, c in enumerate((left, right))]
+        best = sides[0].unionByName(sides[1]).groupBy(*k, "_side", "_end").agg(F.max("_rank").alias("_rank"))
+        agreed = best.groupBy(*k, "_rank").count().where("count = 2").select(*k, F.col(f"_rank.{score}").alias(score), F.col(f"_rank.{left}").alias(left), F.col(f"_rank.{right}").alias(right))
+        won = materialize(rows.join(agreed, [*k, score, left, right], "left_semi").dropDuplicates([*k, left, right]), "matched")
+        used = [won.select(*k, F.col(c).alias("_end")) for c in (left, right)]
+        used = [used[0].unionByName(used[1])] * 2 if same_side else used
+        for c, ends in zip((left, right), used, strict=True):
+            rows = rows.join(ends.withColumnRenamed("_end", c), [*k, c], "left_anti").select(*edges.columns)
+        rows = materialize(rows, "edges")
+        taken = won if taken is None else taken.unionByName(won)
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values([score, left, right], ascending=False)
         a_used: set = set()
         b_used: set = a_used if same_side else set()
         kept = []
-        for i, (a, b) in enumerate(zip(rows[left], rows[right], strict=True)):
+        for i, (a, b) in enumerate(zip(group[left], group[right], strict=True)):
             if a not in a_used and b not in b_used:
                 a_used.add(a)
                 b_used.add(b)
                 kept.append(i)
-        return rows.iloc[kept]
+        return group.iloc[kept]
 
-    return edges.groupBy(*keys).applyInPandas(run, edges.schema)
+    rest = rows.groupBy(*k).applyInPandas(run, edges.schema)
+    return rest if taken is None else taken.select(*edges.columns).unionByName(rest)
 
 
-def similarity_edges(df: DataFrame, keys: Sequence[str], node: str, frame: str, vector: str, threshold: float, block: int = 1024, decimals: int | None = None) -> DataFrame:
+def similarity_edges(df: DataFrame, keys: Sequence[str], node: str, frame: str, vector: str, threshold: float, block: int = 8192, decimals: int | None = None) -> DataFrame:
     """Of each node the most similar node of another frame above ``threshold``: (keys, i, j, similarity), i < j only.
 
     The nodes of a group are compared in blocks: every node goes once to each pair of blocks
     that its own block is in, and a task multiplies two blocks. Only the best of each node
-    leaves a task, and the maximum over tasks is its best; of equals the smaller node.
+    leaves a task, and the maximum over tasks is its best; of equals the smaller node. The
+    work is that of all pairs of a group; a vector is sent to n / ``block`` tasks (eight, for
+    groups of a few hundred nodes or more), and a task multiplies 1024 rows at a time.
     """
-    size = df.groupBy(*keys).agg(F.count("*").alias("_n")).withColumn("_blocks", F.expr(f"cast(ceil(_n / {block}) as int)"))
+    blocks = F.expr(f"cast(greatest(ceil(_n / {block}), least(8, ceil(_n / 256))) as int)")
+    size = df.groupBy(*keys).agg(F.count("*").alias("_n")).withColumn("_blocks", blocks)
     nodes = df.select(*keys, F.col(node).alias("_node"), F.col(frame).alias("_frame"), F.col(vector).cast("array<double>").alias("_v")).join(F.broadcast(size) if not keys else size, list(keys))
     nodes = nodes.withColumn("_b", F.pmod(F.xxhash64("_node"), F.col("_blocks")).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda o: F.struct(F.least("_b", o).alias("a"), F.greatest("_b", o).alias("b")))
@@ -109,14 +135,16 @@ def similarity_edges(df: DataFrame, keys: Sequence[str], node: str, frame: str,
             s, t = np.flatnonzero(b == p), np.flatnonzero(b == q)
             if not len(s) or not len(t):
                 continue
-            sim = v[s] @ v[t].T
-            if decimals is not None:
-                sim = np.round(sim, decimals)
-            sim[frames[s][:, None] == frames[t][None, :]] = -np.inf
-            best = sim.argmax(1)
-            top = sim[np.arange(len(s)), best]
-            ok = top > threshold
-            out.append(pd.DataFrame({"i": ids[s][ok], "j": ids[t][best[ok]], "similarity": top[ok]}))
+            for at in range(0, len(s), 1024):
+                r = s[at : at + 1024]
+                sim = v[r] @ v[t].T
+                if decimals is not None:
+                    sim = np.round(sim, decimals)
+                sim[frames[r][:, None] == frames[t][None, :]] = -np.inf
+                best = sim.argmax(1)
+                top = sim[np.arange(len(r)), best]
+                ok = top > threshold
+                out.append(pd.DataFrame({"i": ids[r][ok], "j": ids[t][best[ok]], "similarity": top[ok]}))
         got = pd.concat(out) if out else pd.DataFrame({"i": [], "j": [], "similarity": []})
         for c in keys:
             got[c] = rows[c].iloc[0]

@@ -16,12 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import masks
-from ..functions.values import BROAD_PROMPTS, frame_file
+from ..functions.values import BROAD_PROMPTS, PALETTE, frame_file
 from ..models import ModelBackend, candidates
 from ..operators import anchors, calibration, folds, kernels, quality, selection, sequence
 from ..operators import depth as depth_ops
 from ..operators import hands as hand_ops
-from ..operators.mask_columns import by_row
+from ..operators.images import contact_sheet, overlay, png
+from ..operators.mask_columns import by_row, depth_previews, overlays
 from ..operators.tracks import object_frame_quality
 from ..schemas import DEPTH_METADATA, TRACKS
 from ..sources import exports, media, tables
@@ -61,6 +62,28 @@ def probe_objects(frames: DataFrame, backend: ModelBackend, prompts: Sequence[st
     return top_k(found, ["frame_index", "prompt"], F.col("detector_score"), ["ordinal"], k)
 
 
+def probe_report(frames: DataFrame, backend: ModelBackend, found: DataFrame, prompts: Sequence[str], folder: str, side: int = 480) -> None:
+    """The candidates of a probe without their masks, and a sheet of the frames with their boxes.
+
+    A probe names its frames and keeps a few candidates of each, so both are small.
+    """
+    rows = found.orderBy("frame_index", "prompt", F.desc("detector_score")).collect()
+    exports.save_json({"prompts": list(prompts), "candidates": [r.asDict(recursive=True) for r in rows]}, f"{folder}/summary.json")
+    shown = []
+    indexes = sorted({r.frame_index for r in rows})
+    for f in frames.where(F.col("frame_index").isin(*indexes)).orderBy("frame_index").collect() if indexes else []:
+        image = backend.decode(f.content)
+        for r in rows:
+            if r.frame_index == f.frame_index:
+                x0, y0, x1, y1 = (round(v) for v in r.box_xyxy)
+                box = np.zeros(image.shape[:2], bool)
+                box[y0:y1, x0:x1] = True
+                image = overlay(image, box, PALETTE[prompts.index(r.prompt) % len(PALETTE)], 0.0)
+        shown.append(image)
+    with open(f"{folder}/contact_sheet.png", "wb") as out:
+        out.write(png(contact_sheet(shown, 4, side)))
+
+
 def build_quality(spark: SparkSession, job: str) -> None:
     """The report of the stages that are there."""
     frames = tables.stored(spark, job, "frame_timestamps", "source/frame_timestamps.parquet")
@@ -190,7 +213,9 @@ class Job:
         """Hand trajectories, poses and the quality of the hand stage."""
         height, width = self.size()
         focal = self.config.focal_length_px or 0.8 * max(height, width)
-        paths, judged = hand_ops.hand_stage(self.frames(), ["episode"], self.backend, F.lit(float(focal)))
+        placed = hand_ops.placed_hands(hand_ops.detected_hands(self.frames(), ["episode"], self.backend), F.lit(float(focal)))
+        exports.save_table(placed, f"{self.folder}/hands/poses.parquet")
+        paths, judged = hand_ops.hand_stage(self.frames(), self.spark.read.parquet(f"{self.folder}/hands/poses.parquet"), ["episode"])
         paths.drop("episode").write.mode("overwrite").parquet(f"{self.folder}/hands/trajectories.parquet")
         self._save_quality("hands", judged.drop("episode"))
         exports.save_json({"schema_version": exports.SCHEMA_VERSION, "focal_length_px": focal, "hands": list(hand_ops.SIDES), "units": "metres"}, f"{self.folder}/hands/metadata.json")
@@ -204,6 +229,14 @@ class Job:
         self._save_quality("depth", done, depth_ops.interval_reasons(F.col("status"), F.col("reasons")))
         exports.save_json({"schema_version": exports.SCHEMA_VERSION, "source_stride": every, "model": self.config.depth_backend, "relative": True, **depth_ops.SCENE_SCALE}, f"{self.folder}/depth/metadata.json")
 
+    def previews(self) -> None:
+        """PNG images of every frame's masks and depth, as tables."""
+        masks_of = self.spark.read.parquet(self._table("tracks")).where("counts is not null").groupBy("frame_index").agg(F.array_sort(F.collect_list(F.struct("object_id", "counts"))).alias("masks"))
+        drawn = overlays(self.frames().join(masks_of, "frame_index", "left"), self.backend)
+        exports.save_table(drawn.select("frame_index", "preview"), f"{self.folder}/previews/objects.parquet")
+        shown = depth_previews(self.spark.read.parquet(self._table("depth")))
+        exports.save_table(shown.select("frame_index", "preview"), f"{self.folder}/previews/depth.parquet")
+
     def _save_quality(self, stage: str, rows: DataFrame, interval_reasons=None) -> None:
         rows = rows.select("frame_index", "confidence", "status", "reasons", (F.col("reasons") if interval_reasons is None else interval_reasons).alias("_why"))
         gaps = quality.quarantined(rows.where("status = 'rejected'").withColumn("stage", F.lit(stage)).drop("reasons").withColumnRenamed("_why", "reasons"))
@@ -344,7 +377,7 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_parser("doctor")
     for name in ("status", "quality", "export"):
         sub.add_parser(name).add_argument("job")
-    for name in ("rebuild-objects", "rebuild-tracks", "rebuild-hands", "add-depth"):
+    for name in ("rebuild-objects", "rebuild-tracks", "rebuild-hands", "add-depth", "previews"):
         p = sub.add_parser(name)
         p.add_argument("job")
         p.add_argument("--backend", required=True)
@@ -410,6 +443,8 @@ def main(args: Sequence[str] | None = None) -> int:
     elif a.command in REBUILDS:
         options = {"every": a.every} if a.command == "add-depth" else {}
         Job.opened(spark, os.path.abspath(a.job), _backend(a.backend)).rebuild(*REBUILDS[a.command], **options)
+    elif a.command == "previews":
+        Job.opened(spark, os.path.abspath(a.job), _backend(a.backend)).previews()
     elif a.command == "process":
         config = ProcessConfig.of(a.video, a.output, a.camera, comma(a.objects), comma(a.target_labels), focal_length_px=a.focal_length_px, max_auto_objects=a.max_auto_objects, anchor_stride=a.anchor_stride, depth_every=a.depth_every, resume=not a.no_resume)
         process(spark, config, Job(spark, config, _backend(a.backend)).steps())
@@ -418,7 +453,7 @@ def main(args: Sequence[str] | None = None) -> int:
         frames = spark.read.format("video_frames").load(a.video)
         if a.command == "probe-objects":
             found = probe_objects(frames, _backend(a.backend), comma(a.prompts), [int(i) for i in comma(a.frames)])
-            exports.save_json({"prompts": comma(a.prompts), "candidates": [json.loads(j) for j in found.orderBy("frame_index", "prompt").toJSON().collect()]}, f"{a.output}/summary.json")
+            probe_report(frames, _backend(a.backend), found, comma(a.prompts), a.output)
         else:
             exports.save_json(calibrate(frames, _backend(a.backend), a.columns, a.rows, a.square_size_mm, a.sample_every, os.path.abspath(a.video)), a.output)
     return 0

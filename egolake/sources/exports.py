@@ -88,6 +88,11 @@ def save_json(data, path: str) -> None:
         raise
 
 
+def save_table(rows: DataFrame, path: str) -> None:
+    """Write a table in place of the one there; a table without rows keeps its schema."""
+    rows.write.mode("overwrite").parquet(path)
+
+
 def save_arrays(path: str, compressed: bool = False, **arrays: np.ndarray) -> None:
     folder = os.path.dirname(path) or "."
     os.makedirs(folder, exist_ok=True)

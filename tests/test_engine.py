@@ -299,9 +299,31 @@ def test_live_report(spark, tmp_path):
     q = live.status_counts(stream).writeStream.outputMode("complete").format("memory").queryName("live_counts").trigger(availableNow=True).start()
     assert q.awaitTermination(60)
     assert sorted(rows(spark.table("live_counts"), "status", "frames")) == [("accepted", 1), ("rejected", 2)]
-    q = live.closed_intervals(stream).writeStream.outputMode("append").format("memory").queryName("live_gaps").trigger(availableNow=True).start()
-    assert q.awaitTermination(60)
-    assert rows(spark.table("live_gaps"), "start_frame", "end_frame", "reasons") == [(1, 2, ["a", "b"])]
+
+
+def test_live_intervals_close_by_time(spark, tmp_path):
+    """Shuffled frames join their interval, and a track's last interval comes out without a later frame of it."""
+    at = lambda s: f"2024-01-01 00:{s // 60:02d}:{s % 60:02d}"
+    files = [[(at(3), 0, 3, ["c"]), (at(1), 0, 1, ["a"])], [(at(2), 0, 2, ["b"]), (at(9), 0, 9, ["d"])], [(at(50), 1, 0, ["x"])], [(at(400), 2, 0, ["y"])]]
+    for n, rows_ in enumerate(files):
+        df = spark.createDataFrame(rows_, "t string, track long, frame_index long, reasons array<string>").withColumn("ts", F.to_timestamp("t")).drop("t")
+        df.coalesce(1).write.parquet(f"file://{tmp_path}/in/{n}")
+        schema = df.schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).option("latestFirst", False).parquet(f"file://{tmp_path}/in")
+    q = live.closed_intervals(stream, "30 seconds", 2.0).writeStream.outputMode("append").format("memory").queryName("live_gaps").trigger(availableNow=True).start()
+    assert q.awaitTermination(120)
+    assert sorted(rows(spark.table("live_gaps"), "track", "start_frame", "end_frame", "reasons")) == [(0, 1, 3, ["a", "b", "c"]), (0, 9, 9, ["d"]), (1, 0, 0, ["x"])]
+
+
+def test_matching_in_rounds_equals_one_group(spark):
+    rng = np.random.default_rng(5)
+    data = [(int(i % 2), int(a), int(b), float(s)) for i, (a, b, s) in enumerate(zip(rng.integers(0, 40, 600), rng.integers(40, 80, 600), rng.integers(0, 30, 600) / 10, strict=True))]
+    edges = spark.createDataFrame(data, "episode long, i long, j long, similarity double").dropDuplicates(["episode", "i", "j"])
+    edges = spark.createDataFrame(edges.collect(), edges.schema)
+    for same in (False, True):
+        whole = sorted(map(tuple, selection.greedy_matching(edges, ["episode"], "i", "j", "similarity", same).collect()))
+        assert whole and sorted(map(tuple, selection.greedy_matching(edges, ["episode"], "i", "j", "similarity", same, limit=5).collect())) == whole
+    assert selection.greedy_matching(edges.limit(0), ["episode"], "i", "j", "similarity").count() == 0
 
 
 def test_quality_rows_need_frames(spark):

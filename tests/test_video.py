@@ -238,7 +238,7 @@ def test_hands_are_looked_for_again_in_padded_images(spark):
     # frame 1 has none and frame 2 lacks the side that frame 1 had
     assert [(r.frame_index, r.handedness) for r in out] == [(0, "left"), (1, "right"), (2, "left"), (2, "right"), (3, "right")]
     assert all(list(r.box) == [100, 60, 200, 140] and list(r.keypoints[0][:2]) == [150, 100] for r in out)
-    paths, judged = hands.hand_stage(frames, ["episode"], Hands(), F.lit(240.0))
+    paths, judged = hands.hand_stage(frames, hands.placed_hands(hands.detected_hands(frames, ["episode"], Hands()), F.lit(240.0)), ["episode"])
     assert paths.count() == 8 and judged.count() == 4
     assert {r.status for r in judged.collect()} <= {"accepted", "rejected"}
 
@@ -308,6 +308,20 @@ def test_candidates_of_smaller_images_are_brought_back(spark):
         assert np.abs(np.array([x, y, x + w, y + h]) - r.box_xyxy).max() <= 2
 
 
+def test_probe_report_and_mesh_previews(spark, tmp_path):
+    frames = spark.createDataFrame([(i, bytes([i])) for i in range(3)], "frame_index long, content binary")
+    found = commands.probe_objects(frames, Whole(), ["cup", "lid"], [0, 2, 9])
+    commands.probe_report(frames, Whole(), found, ["cup", "lid"], str(tmp_path))
+    with open(tmp_path / "summary.json") as f:
+        assert len(json.load(f)["candidates"]) == 4
+    assert (tmp_path / "contact_sheet.png").read_bytes().startswith(b"\x89PNG")
+    with pytest.raises(ValueError, match="none"):
+        commands.probe_objects(frames, Whole(), ["cup"], [9])
+    mesh = spark.createDataFrame([(bytes([1]), [[0.0, 0, 1], [1, 0, 1], [0, 1, 1]], [[1.0, 1], [9, 1], [1, 9]]), (bytes([1]), None, None), (None, None, None)], "content binary, joints_camera array<array<double>>, points array<array<double>>")
+    got = [r.preview for r in mask_columns.mesh_previews(mesh, Whole(), [[0, 1, 2]]).collect()]
+    assert got[0] != got[1] and got[2] is None
+
+
 def test_devices():
     assert chosen_device("auto", ["mps"]) == "mps" and chosen_device("auto", []) == "cpu" and chosen_device("cpu", ["cuda"]) == "cpu"
     with pytest.raises(ValueError, match="cuda"):
@@ -423,6 +437,9 @@ def test_a_job_from_video_to_exports(spark, programs, tmp_path, objects):
     assert os.path.isfile(f"{job}/exports/lerobot/data/chunk-000/episode_000000.parquet") and os.path.isfile(f"{job}/exports/rlds/steps.parquet")
     assert spark.read.parquet(f"file://{job}/quality/frame_scores.parquet").count() == 36
     assert all(status_report(job)["completed_stages"].values())
+    work.previews()
+    previews = [spark.read.parquet(f"file://{job}/previews/{n}.parquet") for n in ("objects", "depth")]
+    assert [p.where("preview is not null").count() for p in previews] == [12, 12] and spark.read.parquet(f"file://{job}/hands/poses.parquet").count() > 0
     commands.seed_object(job, "lid", 5, (60, 60, 80, 80), 128, 96)
     again = commands.Job.opened(spark, job, Whole())
     assert again.rebuild("anchors", "tracks") == ["anchors", "tracks"]
