@@ -3,6 +3,7 @@ import math
 import os
 import re
 from fractions import Fraction
+from types import SimpleNamespace
 
 import pytest
 from hypothesis import given, settings
@@ -146,13 +147,12 @@ def test_shards_against_splitting(spark, limit):
     assert key((r.doc_id, r.n_bytes, r.depth, r.shard, r.shard_bytes) for r in out) == brute_shards(rows, limit)
 
 
-def test_a_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
-    from egolake.llm import work
+def test_a_cluster_without_a_shared_folder_is_refused(spark):
+    from egolake import work
 
-    with monkeypatch.context() as m:
-        m.setattr(spark.sparkContext, "master", "spark://host:7077")
-        with pytest.raises(ValueError, match="checkpoint"):
-            work.materialize(spark.range(3), "x")
+    remote = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: ""), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError, match="checkpoint"):
+        work.work_root(remote)
     kept = work.materialize(spark.range(3), "x")
     folder = work.work_root(spark).removeprefix("file://")
     assert kept.count() == 3 and os.path.isdir(folder)
@@ -231,6 +231,12 @@ def test_archive_bytes_and_damage(spark):
             list(warc.read_records(iter(broken)))
 
 
+def test_payloads_of_many_batches_and_null_pages(spark):
+    rows = [(1, "u", "é" * 5_000_000), (2, "u", "é" * 5_000_000), (None, "u", "x" * 2000), (None, None, None), (3, "u", "x" * 2000)]
+    out = warc.archived(pages(spark, rows)).collect()
+    assert key((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in out) == brute_records(rows)
+
+
 def _paired():
     """Brute-force records in the order of the pages by id as text."""
     rows = sorted(PAGES, key=lambda x: str(x[0]))

@@ -53,6 +53,17 @@ def test_run(spark):
     out = corpus_pipeline.run(spark, DATA)
     assert {"doc_id", "ids", "starts", "ends", "n_tokens"} <= set(out.columns)
     assert 0 < out.count() < 200 and out.where("n_tokens <> size(ids)").count() == 0
+    import sentencepiece
+
+    lib = sentencepiece.SentencePieceProcessor(model_file=queries.piece_model())
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select(*COLUMNS)
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(spark, docs, DATA)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = out.collect()
+    assert {r.doc_id: list(r.ids) for r in rows} == {i: lib.encode(t) for i, t in texts.items()}
+    assert all(r.ends[-1] == len(texts[r.doc_id].encode()) and lib.decode(list(r.ids)) == lib.decode(lib.encode(texts[r.doc_id])) for r in rows if r.ids)
+    assert sorted(r.position for r in rows) == sorted({r.position for r in rows})
 
 
 def test_stages_on_odd_rows(spark, tmp_path):

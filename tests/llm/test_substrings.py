@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from egolake.llm import substring_dedup as S
-from egolake.llm import work
+from egolake import work
 from egolake.llm.fmindex import FMIndex, WaveletTree, suffix_array
 
 from .common import TEXTS, documents, prose

@@ -178,6 +178,38 @@ def test_trees_and_isotonic():
     assert (np.diff(p) >= 0).all() and (np.diff(s) >= 0).all()
 
 
+def test_isotonic_against_the_min_max_formula():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 9, 40):
+        s, y = np.sort(rng.normal(size=n)), rng.integers(0, 2, n).astype(float)
+        full = np.concatenate([[0.5], y, [0.5]])  # with the two rows of the prior
+        mean = lambda a, b: full[a : b + 1].mean()  # noqa: B023, E731
+        want = [max(min(mean(a, b) for b in range(i, n + 2)) for a in range(i + 1)) for i in range(n + 2)]
+        knots, values = trees.isotonic(s, y)
+        assert np.allclose(np.interp([s[0] - 1, *s, s[-1] + 1], knots, values), want)
+
+
+def test_first_split_against_all_splits():
+    rng = np.random.default_rng(6)
+    x, y = rng.random((60, 3)), rng.integers(0, 2, 60).astype(float)
+    m = trees.fit(x, y, rounds=1, depth=1)
+    b, p = trees.binned(x, m["edges"]), y.mean()
+    g, h = p - y, np.full(60, p * (1 - p))
+    best = -1.0
+    for j in range(3):
+        for t in range(b[:, j].max()):
+            left = b[:, j] <= t
+            if min(h[left].sum(), h[~left].sum()) >= 2.0:
+                gain = sum(g[k].sum() ** 2 / (h[k].sum() + 1.0) for k in (left, ~left)) - g.sum() ** 2 / (h.sum() + 1.0)
+                best = max(best, gain)
+    (j, t), = m["trees"][0][0][0]
+    left = b[:, j] <= t
+    got = sum(g[k].sum() ** 2 / (h[k].sum() + 1.0) for k in (left, ~left)) - g.sum() ** 2 / (h.sum() + 1.0)
+    assert got == pytest.approx(best)
+    want = np.where(left, -0.15 * g[left].sum() / (h[left].sum() + 1), -0.15 * g[~left].sum() / (h[~left].sum() + 1))
+    assert np.allclose(trees.raw_score(m, x) - m["base"], want)
+
+
 # secrets -------------------------------------------------------------------
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
