@@ -317,7 +317,7 @@ def test_probe_report_and_mesh_previews(spark, tmp_path):
     assert (tmp_path / "contact_sheet.png").read_bytes().startswith(b"\x89PNG")
     with pytest.raises(ValueError, match="none"):
         commands.probe_objects(frames, Whole(), ["cup"], [9])
-    mesh = spark.createDataFrame([(bytes([1]), [[0.0, 0, 1], [1, 0, 1], [0, 1, 1]], [[1.0, 1], [9, 1], [1, 9]]), (bytes([1]), None, None), (None, None, None)], "content binary, joints_camera array<array<double>>, points array<array<double>>")
+    mesh = spark.createDataFrame([(bytes([1]), [[0.0, 0.0, 1.0], [1.0, 0.0, 1.0], [0.0, 1.0, 1.0]], [[1.0, 1.0], [9.0, 1.0], [1.0, 9.0]]), (bytes([1]), None, None), (None, None, None)], "content binary, joints_camera array<array<double>>, points array<array<double>>")
     got = [r.preview for r in mask_columns.mesh_previews(mesh, Whole(), [[0, 1, 2]]).collect()]
     assert got[0] != got[1] and got[2] is None
 
