@@ -5,15 +5,15 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from .adapters import BOXES_SQL, USER_FRAMES_SQL, boxes, table, user_frames
+from .adapters import BOXES_SQL, USER_FRAMES_SQL, boxes, iou_sql, table, user_frames
 from .catalog import T, query
 from .functions import geometry as G
 from .functions import masks as M
 from .functions import values as V
 from .models import with_label_scores
-from .operators import depth, hands, mask_columns, scoring, sequence, tracks
+from .operators import depth, hands, kernels, mask_columns, scoring, selection, sequence, tracks
 from .plans import stages, tracking
-from .sources import media
+from .sources import exports, media, tables
 
 # masks on a grid of 12 rows and 16 columns -----------------------------------
 
@@ -222,3 +222,131 @@ def camera_translations(spark, sf_dir):
 def file_names_and_scales(spark, sf_dir):
     name = F.concat_ws("/", "p_brand", "p_type", "p_name", "p_type", "p_name")
     return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part"), G.scaled_side(F.col("p_size") * 12, F.lit(200), 300).alias("scale"), V.file_safe(name).alias("file"))
+
+
+# values, documents and sinks ---------------------------------------------------
+
+
+@query("""WITH t AS (SELECT p_partkey AS part, CASE p_partkey % 4 WHEN 0 THEN ' ' || p_brand || ' = /' || p_type || '=x ' WHEN 1 THEN p_brand WHEN 2 THEN '=' || p_brand ELSE p_brand || '= ' END AS t FROM part)
+SELECT part, CASE WHEN part % 4 = 0 THEN trim(string_split(t, '=')[1]) END AS key, CASE WHEN part % 4 = 0 THEN trim(substr(t, strpos(t, '=') + 1)) END AS value FROM t""")
+def key_values(spark, sf_dir):
+    key, b = F.col("p_partkey") % 4, F.col("p_brand")
+    text = F.when(key == 0, F.concat(F.lit(" "), b, F.lit(" = /"), F.col("p_type"), F.lit("=x "))).when(key == 1, b).when(key == 2, F.concat(F.lit("="), b)).otherwise(F.concat(b, F.lit("= ")))
+    got = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part"), V.key_value(text).alias("kv"))
+    return got.select("part", "kv.key", "kv.value")
+
+
+@query("SELECT n_nationkey AS object_id, [[0, 210, 255], [255, 80, 110], [100, 230, 120], [190, 110, 255], [255, 190, 50], [40, 150, 255]][n_nationkey % 6 + 1] AS colour, n_nationkey || '_lost' AS reason FROM nation")
+def object_colours(spark, sf_dir):
+    i = F.col("n_nationkey")
+    return table(spark, sf_dir, "nation").select(i.alias("object_id"), V.colour(i).alias("colour"), V.reason(i, "lost").alias("reason"))
+
+
+@query("SELECT r_regionkey AS region, CASE WHEN r_regionkey % 2 = 0 THEN [lower(r_name), 'cup'] ELSE NULL END AS own, CASE WHEN r_regionkey % 2 = 0 THEN 2 ELSE 22 END AS n FROM region")
+def chosen_prompts(spark, sf_dir):
+    own = F.when(F.col("r_regionkey") % 2 == 0, F.array(F.concat(F.lit(" "), F.lower("r_name")), F.lit("cup "), F.lit(" "))).otherwise(F.array().cast("array<string>"))
+    got = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("region"), own.alias("o"), V.chosen_prompts(own).alias("p"))
+    return got.select("region", F.when(F.size("o") > 0, F.col("p")).alias("own"), F.size("p").alias("n"))
+
+
+@query("SELECT p_partkey AS part, CASE WHEN p_partkey % 5 <> 0 THEN sha256(p_name || p_brand) END AS hash FROM part")
+def content_hashes(spark, sf_dir):
+    content = F.when(F.col("p_partkey") % 5 != 0, F.concat("p_name", "p_brand").cast("binary"))
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part"), V.file_sha256(content).alias("hash"))
+
+
+@query("SELECT n_regionkey AS region, list(n_name ORDER BY n_nationkey)[1 : 1 + n_regionkey] AS labels FROM nation GROUP BY 1")
+def capped_labels(spark, sf_dir):
+    rows = table(spark, sf_dir, "nation").groupBy(F.col("n_regionkey").alias("region")).agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("n"))
+    return rows.select("region", selection.capped_labels(F.col("n.n_name"), (F.col("region") + 1).cast("int")).alias("labels"))
+
+
+@query("SELECT c_mktsegment AS label, arg_max(c_custkey, (c_acctbal, -c_custkey)) AS cluster, max(c_acctbal) AS score FROM customer GROUP BY 1")
+def best_cluster_per_label(spark, sf_dir):
+    rows = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("label"), F.col("c_custkey").alias("cluster"), F.col("c_acctbal").alias("score"))
+    return selection.best_per_group(rows, ["label"], F.col("score"), ["cluster"])
+
+
+@query(f"""WITH RECURSIVE {BOXES_SQL}, o AS (SELECT frame_index, ordinal, x0, y0, x1, y1, detector_score AS s, row_number() OVER (PARTITION BY frame_index ORDER BY detector_score DESC, ordinal) AS n FROM bx),
+r(frame_index, n, kept) AS (SELECT DISTINCT frame_index, 0::BIGINT, []::BIGINT[] FROM bx UNION ALL
+ SELECT r.frame_index, o.n, CASE WHEN len(r.kept) >= 3 OR EXISTS (SELECT 1 FROM o k WHERE k.frame_index = o.frame_index AND list_contains(r.kept, k.ordinal) AND {iou_sql("k", "o")} > 0.2::DOUBLE) THEN r.kept ELSE list_append(r.kept, o.ordinal) END
+ FROM r JOIN o ON o.frame_index = r.frame_index AND o.n = r.n + 1)
+SELECT frame_index, unnest(arg_max(kept, n)) AS cluster FROM r GROUP BY 1""")
+def diverse_clusters(spark, sf_dir):
+    rows = boxes(spark, sf_dir).select("frame_index", F.col("ordinal").alias("cluster"), F.col("detector_score").alias("score"), "box_xyxy")
+    return scoring.diverse_clusters(rows, ["frame_index"], 3, 0.2).select("frame_index", "cluster")
+
+
+@query(f"""WITH {_CELLS_SQL}, f AS (SELECT track, {HEIGHT - 1} - y AS y, x FROM ce), u AS (SELECT track, y, x, bool_or(a) AS a, bool_or(b) AS b FROM (SELECT track, y, x, true AS a, false AS b FROM ce UNION ALL SELECT track, y, x, false, true FROM f) GROUP BY ALL)
+SELECT track, count(*) FILTER (a AND b) AS both, count(*) AS either, count(*) FILTER (a AND NOT b) AS only_first, {HEIGHT * WIDTH} - count(*) AS neither FROM u GROUP BY 1""".replace("AS both", 'AS "both"'))
+def mask_logic(spark, sf_dir):
+    out = mask_columns.combined_masks(_grids(spark, sf_dir), "counts", "flipped")
+    return out.select("track", *(M.rle_area(F.col(c)).alias(c) for c in ("both", "either", "only_first", "neither")))
+
+
+@query(f"""WITH {_CELLS_SQL}, b AS (SELECT track, y, sum(1::BIGINT << (15 - x)) AS v FROM ce GROUP BY ALL), a AS (SELECT track, i AS y FROM (SELECT DISTINCT track FROM ce), range(0, {HEIGHT}) r(i))
+SELECT a.track, string_agg(lpad(lower(to_hex(coalesce(v, 0)::BIGINT)), 4, '0'), '' ORDER BY a.y) AS packed, count(*) > 0 AS same FROM a LEFT JOIN b ON b.track = a.track AND b.y = a.y GROUP BY 1""")
+def packed_masks(spark, sf_dir):
+    rows = mask_columns.packed_masks(_grids(spark, sf_dir)).withColumnRenamed("counts", "before")
+    return mask_columns.unpacked_masks(rows).select("track", F.lower(F.hex("packed")).alias("packed"), (F.col("counts") == F.col("before")).alias("same"))
+
+
+@query(f"WITH {_CELLS_SQL} SELECT track, [min(x), min(y), max(x) + 1, max(y) + 1]::BIGINT[] AS corners FROM ce GROUP BY 1")
+def mask_corners(spark, sf_dir):
+    return _grids(spark, sf_dir).select("track", M.rle_corners(F.col("counts"), HEIGHT).alias("corners"))
+
+
+class _Plain:
+    """Images of the grid's size."""
+
+    def decode(self, content):
+        return np.zeros((HEIGHT, WIDTH, 3), np.uint8)
+
+
+@query(f"""WITH {_CELLS_SQL}, b AS (SELECT track, min(x) AS x, min(y) AS y, max(x) - min(x) + 1 AS w, max(y) - min(y) + 1 AS h FROM ce GROUP BY 1), k AS (SELECT *, (greatest(w, h) * 0.18::DOUBLE)::DOUBLE AS p FROM b), q AS (SELECT *, floor(p)::BIGINT AS k FROM k)
+SELECT track, greatest(1, round_even(greatest(w, h) * 1.3::DOUBLE, 0))::BIGINT AS side, least({HEIGHT}, y + h + k) - greatest(0, y - k) AS high, least({WIDTH}, x + w + k) - greatest(0, x - k) AS wide FROM q""")
+def crop_sizes(spark, sf_dir):
+    rows = _grids(spark, sf_dir).withColumn("content", F.lit(b"x"))
+    square = mask_columns.crops(rows, _Plain()).select("track", F.col("crop_height").cast("long").alias("side"))
+    padded = mask_columns.crops(rows, _Plain(), square=False).select("track", F.col("crop_height").cast("long").alias("high"), F.col("crop_width").cast("long").alias("wide"))
+    return square.join(padded, "track")
+
+
+@query("SELECT user_id AS track, round(quantile_cont(value, 0.02), 6) AS low, round(quantile_cont(value, 0.98), 6) AS high FROM events WHERE value < 400 GROUP BY 1")
+def depth_bounds(spark, sf_dir):
+    v = F.col("value")
+    rows = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("track")).agg(F.collect_list(F.when(v < 400, v).otherwise(float("nan"))).alias("raw"))
+    out = mask_columns.by_row(rows, ["raw"], "low double, high double", lambda raw: kernels.normalised_depth(np.array(raw), None)[1:])
+    some = table(spark, sf_dir, "events").where("value < 400").select(F.col("user_id").alias("track")).distinct()
+    return out.join(some, "track", "left_semi").select("track", F.round("low", 6).alias("low"), F.round("high", 6).alias("high"))
+
+
+@query("""WITH p AS (SELECT n_nationkey AS track, y, x, (n_nationkey * 7 + y * 13 + x * 29) % 64 + 192 AS r, (n_nationkey * 7 + y * 13 + x * 29 + 41) % 64 + 192 AS g, (n_nationkey * 7 + y * 13 + x * 29 + 82) % 64 + 192 AS b FROM nation, range(0, 6) a(y), range(0, 8) c(x))
+SELECT track, round(avg(((track + y + x) % 9 = 0)::INT), 9) AS invalid_fraction, round(avg((greatest(r, g, b) >= 252 AND (r + g + b) / 3.0::DOUBLE >= 210)::INT), 9) AS glare_fraction FROM p GROUP BY 1""")
+def frame_fractions(spark, sf_dir):
+    y, x = np.mgrid[:6, :8]
+
+    def measure(track):
+        base = track * 7 + y * 13 + x * 29
+        image = np.stack([(base + 41 * c) % 64 + 192 for c in range(3)], -1).astype(np.uint8)
+        s = kernels.frame_statistics(image, np.where((track + y + x) % 9 == 0, np.nan, 1.0))
+        return s["invalid_fraction"], s["glare_fraction"]
+
+    out = mask_columns.by_row(table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("track")), ["track"], "invalid_fraction double, glare_fraction double", measure)
+    return out.select("track", F.round("invalid_fraction", 9).alias("invalid_fraction"), F.round("glare_fraction", 9).alias("glare_fraction"))
+
+
+@query("""SELECT o_orderkey AS frame_index, '[{"object_id":' || o_custkey || ',"label":"' || o_orderstatus || '","box":null}]' AS objects_json, '{"left":{"n":' || (o_custkey % 5) || '}}' AS hands_json, CASE WHEN o_custkey % 3 = 0 THEN '{}' ELSE '{"status":"' || o_orderpriority || '"}' END AS depth_metadata_json FROM orders""")
+def json_columns(spark, sf_dir):
+    one = F.struct(F.col("o_custkey").alias("object_id"), F.col("o_orderstatus").alias("label"), F.lit(None).cast("int").alias("box"))
+    depth_of = F.when(F.col("o_custkey") % 3 != 0, F.struct(F.col("o_orderpriority").alias("status")))
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("frame_index"), F.array(one).alias("objects"), F.create_map(F.lit("left"), F.struct((F.col("o_custkey") % 5).alias("n"))).alias("hands"), depth_of.alias("depth"))
+    return exports.as_json(rows)
+
+
+@query("SELECT r_regionkey::BIGINT AS r_regionkey, r_name FROM region")
+def stored_tables(spark, sf_dir):
+    """A table read with a schema, and one that isn't there."""
+    here = tables.read_table(spark, f"{sf_dir}/region.parquet", spark.read.parquet(f"{sf_dir}/region.parquet").select("r_regionkey", "r_name").schema)
+    gone = tables.read_table(spark, f"{sf_dir}/nowhere.parquet", here.schema)
+    return here.unionByName(gone).select(F.col("r_regionkey").cast("long").alias("r_regionkey"), "r_name")

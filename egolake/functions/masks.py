@@ -48,3 +48,9 @@ def rle_box(counts: Column, height) -> Column:
     zero = F.lit(0).cast("long")
     box = lambda s: F.when(s["x0"].isNull(), F.array(zero, zero, zero, zero)).otherwise(F.array(s["x0"], s["y0"], s["x1"] - s["x0"] + 1, s["y1"] - s["y0"] + 1))
     return F.aggregate(counts, start, step, box)
+
+
+def rle_corners(counts: Column, height) -> Column:
+    """x0, y0, x1, y1 of a mask, the far corner outside of it; zeros for an empty mask."""
+    box = rle_box(counts, height)
+    return F.transform(F.array(box), lambda b: F.array(b[0], b[1], b[0] + b[2], b[1] + b[3]))[0]

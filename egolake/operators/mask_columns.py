@@ -75,6 +75,26 @@ def union_masks(df: DataFrame, masks: str = "masks", height: str = "height", wid
     return by_row(df, [masks, height, width], "counts array<int>, area bigint", kernel)
 
 
+def combined_masks(df: DataFrame, first: str, second: str, height: str = "height", width: str = "width") -> DataFrame:
+    """Adds both (pixels of both masks), either, only_first and neither, as counts. A null mask is empty."""
+
+    def kernel(a, b, h, w):
+        a, b = (np.zeros((h, w), bool) if c is None else _mask(c, h, w) for c in (a, b))
+        return tuple(kernels.encode_rle(m) for m in (a & b, a | b, a & ~b, ~(a | b)))
+
+    return by_row(df, [first, second, height, width], "both array<int>, either array<int>, only_first array<int>, neither array<int>", kernel)
+
+
+def packed_masks(df: DataFrame, counts: str = "counts", height: str = "height", width: str = "width") -> DataFrame:
+    """Adds packed: the bits of each mask, row by row, each row filled up to whole bytes."""
+    return by_row(df, [counts, height, width], "packed binary", lambda c, h, w: (None if c is None else kernels.packed(_mask(c, h, w)),))
+
+
+def unpacked_masks(df: DataFrame, packed: str = "packed", height: str = "height", width: str = "width") -> DataFrame:
+    """Adds counts: what ``packed_masks`` packed."""
+    return by_row(df, [packed, height, width], "counts array<int>", lambda p, h, w: (None if p is None else kernels.encode_rle(kernels.unpacked(p, h, w)),))
+
+
 def rescaled_masks(df: DataFrame, to_height: str, to_width: str, counts: str = "counts", height: str = "height", width: str = "width") -> DataFrame:
     """Masks brought to another size by nearest neighbours."""
 

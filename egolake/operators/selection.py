@@ -41,6 +41,11 @@ def last_per_group(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     return df.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
 
 
+def capped_labels(labels: Column, limit: Column) -> Column:
+    """The first labels, no more than ``limit``."""
+    return F.slice(labels, 1, F.least(F.size(labels), limit))
+
+
 def suppress_overlaps(df: DataFrame, keys: Sequence[str], order: Sequence[str], descending: Sequence[bool], threshold: float, box: str = "box_xyxy", limit: int | None = None) -> DataFrame:
     """Greedy suppression: in order, rows that overlap no kept row by more than ``threshold``.
 
