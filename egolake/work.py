@@ -59,11 +59,14 @@ def clean() -> None:
             continue
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once into the shared folder and read it back, which cuts its lineage."""
+def materialize(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
+    """Write ``df`` once into the shared folder and read it back, which cuts its lineage.
+
+    ``codec`` compresses the files, in place of the session's.
+    """
     spark = df.sparkSession
     path = f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
