@@ -176,7 +176,10 @@ def _stretches(docs: DataFrame) -> DataFrame:
     copy_of = F.when(F.col("doc_id") > F.col("first_id"), F.col("first_id"))
     mine = lambda c: F.when(copy_of.isNull(), F.col(c)).alias(c)
     wanted = wanted.select("doc_id", "th", "text", copy_of.alias("copy_of"), F.col("first_id").isNotNull().alias("whole"), mine("places"), mine("fps"))
-    return materialize(wanted.mapInArrow(_regions, REGION), "regions")
+    regions = materialize(wanted.mapInArrow(_regions, REGION), "regions")
+    if regions.groupBy("rid").count().where("count > 1").isEmpty():
+        return regions
+    return materialize(regions.dropDuplicates(["rid"]), "regions")  # of rows that repeat an id and its text
 
 
 def _routes(regions: DataFrame) -> DataFrame:

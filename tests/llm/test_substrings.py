@@ -64,7 +64,7 @@ def shared_rows():
         if i % 20 == 0:
             w += prose(3000 + i // 40, 60 + i % 7).split()  # passages of two documents
         rows.append((r.randrange(70) if i % 5 == 0 else 100 + i, " ".join(w)))
-    rows += [(300, rows[3][1]), (301, rows[3][1]), (302, rows[7][1] + " end")]
+    rows += [(300, rows[3][1]), (301, rows[3][1]), (302, rows[7][1] + " end")] + [rows[11]] * 40
     r.shuffle(rows)
     return rows
 
