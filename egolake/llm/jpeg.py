@@ -86,7 +86,8 @@ def padded(payload: bytes) -> bytes:
 def encode(payload: bytes) -> bytes:
     """A progressive JPEG that holds ``payload``; the comment has its length."""
     mcus = max(1, -(-len(payload) // 384))
-    wide = max(min(mcus, ROW_MCUS), -(-mcus // MAX_ROWS))
+    least = max(1, -(-mcus // MAX_ROWS))
+    wide = max(range(least, max(least, min(mcus, ROW_MCUS)) + 1), key=lambda w: (-(-(-mcus // w) * w), w))  # the widest of those that fill the fewest
     high = -(-mcus // wide)
     mcus = wide * high
     data = np.full(mcus * 384, 255, np.uint8)
@@ -512,5 +513,5 @@ def digest(docs: DataFrame) -> DataFrame:
                     c.append(v)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c, k) for c, k in zip(out, kinds[2:], strict=True))], names=names)
 
-    stored = materialize(media_column(docs), "media")
+    stored = materialize(media_column(docs), "media", "zstd")
     return stored.mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
