@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,7 +11,7 @@ from .adapters import BOXES_SQL, USER_FRAMES_SQL, boxes, iou_sql, seconds, table
 from .functions import geometry as G
 from .functions import masks as M
 from .functions import values as V
-from .operators import depth, folds, hands, kernels, quality, scoring, selection, sequence, tracks
+from .operators import depth, folds, hands, quality, scoring, selection, sequence, tracks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
