@@ -13,7 +13,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .work import hinted, materialize
+from .work import hinted, keyed, materialize
 
 LIMIT_BYTES, HASH_BITS, SPARE_BITS = 64 << 20, 60, 3
 
@@ -42,11 +42,12 @@ def sharded(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
     while True:
         cells = todo.groupBy(_prefix(bits).alias("cell")).agg(F.sum("n_bytes").alias("b"))
         rolled = cells.select("cell", "b", F.explode(F.sequence(F.lit(low), F.lit(bits))).alias("depth"))
-        rolled = rolled.withColumn("p", F.expr(f"shiftrightunsigned(cell, {bits} - depth)"))
-        sums = rolled.groupBy("depth", "p").agg(F.sum("b").alias("shard_bytes"))
+        rolled = rolled.withColumn("p", F.expr(f"shiftrightunsigned(cell, {bits} - depth)")).withColumn("node", F.expr("shiftleft(1L, depth) + p"))
+        # a node of few bits has very many cells
+        sums = materialize(rolled.groupBy("node").agg(F.sum("b").alias("shard_bytes"), F.count("*").alias("rows")), "sums")
         fits = (F.col("shard_bytes") <= limit) | (F.col("depth") == HASH_BITS)
         best = F.min(F.when(fits, F.struct("depth", "p", "shard_bytes")))
-        got = materialize(rolled.select("cell", "depth", "p").join(sums, ["depth", "p"]).groupBy("cell").agg(best.alias("s")), "cells")
+        got = materialize(keyed(rolled.select("cell", "depth", "p", "node"), sums, "node", 64).groupBy("cell").agg(best.alias("s")), "cells")
         done = got.where("s is not null").select(F.lit(bits).alias("bits"), "cell", "s.*")
         found = done if found is None else found.unionByName(done)
         over = got.where("s is null").select("cell")
