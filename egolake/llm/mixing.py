@@ -7,26 +7,27 @@ runs. No source is then ever a whole block ahead of or behind its weight. When a
 a new phase starts with the weights of those that are left; no document is dropped or
 repeated.
 
-The schedule is simulated on the driver, slot by slot, from one row a source. Blocks grow with
-the corpus, so that there are at most SLOTS of them (and one more a source): its size, and
-that of the table that is broadcast, don't grow. Documents are ranked in groups of bounded
-size.
+The schedule is simulated on the driver, slot by slot, from one row a source; a slot takes
+time by the logarithm of their number. Blocks grow with the corpus, so that there are at most
+SLOTS of them (and one more a source). Documents are ranked in groups of bounded size.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Mapping
+from bisect import bisect_left
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..work import BROADCAST_BYTES
 from .work import hinted, materialize
 
-#: Documents of a block at least, blocks of the schedule at most, sources that are all scheduled singly, documents that a ranking group aims at, and ranking groups of a source at most.
+#: Documents of a block at least, blocks of the schedule at most, sources beyond which ``scheduled`` pools them unless told otherwise, documents that a ranking group aims at, and ranking groups of a source at most.
 BLOCK, SLOTS, MAX_SOURCES, GROUP, GROUPS = 64, 100_000, 2000, 2000, 50_000
 #: With more sources: the largest that are scheduled singly, and pools that the others aim at.
 SINGLE, POOLS = 200, 200
@@ -48,25 +49,89 @@ def schedule(blocks: list[int], weights: list[float]) -> list[tuple[int, int]]:
 
     Sources of weight 0 come when all others have ended, in equal shares.
     """
-    done, out = [0] * len(blocks), []
-    while live := [i for i, n in enumerate(blocks) if done[i] < n]:
-        live = [i for i in live if weights[i] > 0] or live
-        a = dict(zip(live, whole_weights([weights[i] for i in live]), strict=True))
-        total, slot, begin = sum(a.values()), 0, done.copy()
-        waiting = [(0, i) for i in live]  # release, source: its next block
+    return list(slots_of(blocks, weights))
+
+
+def slots_of(blocks: Sequence[int], weights: Sequence[float]) -> Iterator[tuple[int, int]]:
+    """What ``schedule`` returns, one slot at a time."""
+    some = [i for i, n in enumerate(blocks) if n > 0]
+    yield from _phases(blocks, weights, [i for i in some if weights[i] > 0])
+    yield from _phases(blocks, weights, [i for i in some if not weights[i] > 0])
+
+
+def _phases(blocks: Sequence[int], weights: Sequence[float], sources: list[int]) -> Iterator[tuple[int, int]]:
+    """The slots of ``sources``, until all have ended.
+
+    Sources that have not run in a phase stay in a tree over the order of weights, which has the
+    least source below each node, so a phase costs only by the sources that run in it. Of these
+    sources, those due first are the ones from some weight on, and the least of them runs.
+    """
+    by = sorted(sources, key=lambda i: weights[i])
+    place, none = [0] * len(blocks), len(blocks)
+    for p, i in enumerate(by):
+        place[i] = p
+    width = 1 << max(0, len(by) - 1).bit_length()
+    tree = [none] * width + by + [none] * (width - len(by))
+    for p in range(width - 1, 0, -1):
+        tree[p] = min(tree[2 * p], tree[2 * p + 1])
+
+    def put(p: int, i: int) -> None:
+        p += width
+        tree[p] = i
+        while p > 1:
+            p >>= 1
+            tree[p] = min(tree[2 * p], tree[2 * p + 1])
+
+    def fresh() -> tuple[int, int] | None:
+        if tree[1] == none:
+            return None
+        p = 1
+        while p < width:
+            p = 2 * p + (tree[2 * p + 1] != none)
+        due = -(-total // a[p - width])
+        p = width + bisect_left(a, -(-total // due))
+        least = tree[p]
+        while p > 1:
+            if not p & 1:
+                least = min(least, tree[p + 1])
+            p >>= 1
+        return due, least
+
+    done, ended, top, scale, a, total = [0] * len(blocks), bytearray(len(by)), len(by), None, [], 0
+    while True:
+        while top and ended[top - 1]:
+            top -= 1
+        if not top:
+            return
+        if scale != (scale := math.frexp(weights[by[top - 1]])[1]):
+            a = whole_weights([weights[i] for i in by[:top]])
+            total = sum(w for w, gone in zip(a, ended, strict=False) if not gone)
+        got: dict[int, int] = {}  # blocks of this phase
+        waiting: list[tuple[int, int]] = []  # release, source: its next block
         ready: list[tuple[int, int]] = []  # deadline, source
+        slot, first = 0, fresh()
         while True:
             while waiting and waiting[0][0] <= slot:
                 _, i = heapq.heappop(waiting)
-                heapq.heappush(ready, (-(-(done[i] - begin[i] + 1) * total // a[i]), i))
-            _, i = heapq.heappop(ready)
-            out.append((i, done[i]))
+                heapq.heappush(ready, (-(-(got[i] + 1) * total // a[place[i]]), i))
+            new = first is not None and (not ready or first < ready[0])
+            _, i = first if new else heapq.heappop(ready)
+            if new:
+                put(place[i], none)
+            yield i, done[i]
             done[i] += 1
             slot += 1
             if done[i] == blocks[i]:
                 break
-            heapq.heappush(waiting, ((done[i] - begin[i]) * total // a[i], i))
-    return out
+            got[i] = got.get(i, 0) + 1
+            heapq.heappush(waiting, (got[i] * total // a[place[i]], i))
+            if new:
+                first = fresh()
+        ended[place[i]] = 1
+        total -= a[place[i]]
+        for k in got:
+            if k != i:
+                put(place[k], k)
 
 
 def _least(weights: Mapping[str, float]) -> float:
@@ -107,11 +172,17 @@ def _pooled(docs: DataFrame, weights: Mapping[str, float] | None) -> tuple[DataF
     return out.unionByName(dealt.select("source", "sid", F.lit(1).cast("long").alias("groups"), "weight")), n, share
 
 
+def _joined(rows: pa.Table, spark: SparkSession) -> DataFrame:
+    """``rows`` as a frame with a broadcast hint if they are small."""
+    df = spark.createDataFrame(rows)
+    return F.broadcast(df) if rows.nbytes + 64 * len(rows) <= BROADCAST_BYTES else df
+
+
 def _groups(n: int) -> int:
     return min(max(1, n // GROUP), GROUPS)
 
 
-def scheduled(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int = BLOCK, slots: int = SLOTS) -> DataFrame:
+def scheduled(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int = BLOCK, slots: int = SLOTS, most: int | None = MAX_SOURCES) -> DataFrame:
     """The rows of ``docs`` with block, phase_slot (the slot of the block) and position.
 
     ``weights`` gives the target weight of a source: sources it lacks get the least of those
@@ -123,26 +194,31 @@ def scheduled(docs: DataFrame, weights: Mapping[str, float] | None = None, block
     the mixture: slot * documents of a block + place in the block. Columns of those names are
     replaced. No rows give no rows.
 
-    With more than MAX_SOURCES sources, the largest stay single and the others share pools,
-    which are scheduled like sources with the sums of their members' weights; ``block`` is
-    then one of the pool. See ``_pooled``.
+    With ``most`` None every source is scheduled singly, however many there are: the schedule of
+    the SQL, which op4 and the pipeline have. There a phase begins whenever one of very many small
+    sources ends, and the weightiest run first in each, beyond their weights. With more than
+    ``most`` sources, the largest stay single and the others share pools, which are scheduled
+    like sources with the sums of their members' weights, so weights hold while members end;
+    ``block`` is then one of the pool. See ``_pooled``.
     """
     kept = [c for c in docs.columns if c not in ("block", "phase_slot", "position")]
     docs = docs.select(*kept)
-    counts = docs.groupBy("source").agg(F.count("*").alias("n")).orderBy("source").limit(MAX_SOURCES + 1).collect()
     spark = docs.sparkSession
-    pooled = len(counts) > MAX_SOURCES
+    counts = docs.groupBy("source").agg(F.count("*").alias("n")).orderBy("source")
+    counts = (counts if most is None else counts.limit(most + 1)).toArrow()  # one row a source
+    pooled = most is not None and len(counts) > most
     if pooled:
         sources, sizes, share = _pooled(docs, weights)
         sources = hinted(sources, F.lit(96) + F.coalesce(F.length("source"), F.lit(0)))
     else:
-        sizes = [r.n for r in counts]
-        share = [math.sqrt(r.n) if weights is None else max(0.0, float(weights.get(r.source, _least(weights)))) for r in counts]
-        sources = F.broadcast(spark.createDataFrame([(r.source, i, _groups(r.n)) for i, r in enumerate(counts)], "source string, sid int, groups long"))
+        names, sizes = counts["source"].to_pylist(), counts["n"].to_pylist()
+        rest = 0.0 if weights is None else _least(weights)
+        share = [math.sqrt(n) if weights is None else max(0.0, float(weights.get(s, rest))) for s, n in zip(names, sizes, strict=True)]
+        sid = pa.array(np.arange(len(sizes), dtype=np.int32))
+        sources = _joined(pa.table({"source": counts["source"], "sid": sid, "groups": pa.array(map(_groups, sizes), pa.int64())}), spark)
     block = max(block, -(-sum(sizes) // slots))
-    plan = np.array(schedule([-(-n // block) for n in sizes], share), np.int64).reshape(-1, 2)
-    plan = pa.table({"of": pa.array(plan[:, 0].astype(np.int32)), "b": pa.array(plan[:, 1]), "slot": pa.array(np.arange(len(plan)))})
-    slot_of = F.broadcast(spark.createDataFrame(plan)) if len(plan) else spark.createDataFrame([], "of int, b long, slot long")  # slots and one more a source at most
+    plan = np.fromiter(slots_of([-(-n // block) for n in sizes], share), np.dtype((np.int64, 2))).reshape(-1, 2)
+    slot_of = _joined(pa.table({"of": pa.array(plan[:, 0].astype(np.int32)), "b": pa.array(plan[:, 1]), "slot": pa.array(np.arange(len(plan)))}), spark)
 
     # The rank within a source: groups of like hashes, a sum of the groups before, and a rank in the
     # group. The row itself travels as one struct, so its columns may have any names.
@@ -166,9 +242,9 @@ def scheduled(docs: DataFrame, weights: Mapping[str, float] | None = None, block
     return out.select(*(F.col("row").getField(c).alias(c) for c in kept), "block", F.col("slot").alias("phase_slot"), (F.col("slot") * block + F.col("r") % block).alias("position"))
 
 
-def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int = BLOCK) -> DataFrame:
+def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int = BLOCK, most: int | None = MAX_SOURCES) -> DataFrame:
     """The rows of ``docs`` in the order of the mixture; see ``scheduled``."""
-    return scheduled(docs, weights, block).orderBy("position").select(*docs.columns)
+    return scheduled(docs, weights, block, most=most).orderBy("position").select(*docs.columns)
 
 
 #: The schedule slot by slot: n blocks, done ones, done ones when the phase began, its first slot.

@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from egolake.llm import mixing, sharding, warc
+from egolake.llm import mixing, queries, sharding, warc
 
 from .common import TEXTS, documents
 
@@ -118,6 +118,23 @@ def test_very_many_sources(spark):
         assert len(set(hosts[:1500])) > 1400  # no host has its second turn long before others their first
 
 
+def test_op4_schedules_every_source_of_very_many(spark, tmp_path):
+    n = [1 + 64 * (i % 9 == 0) for i in range(2101)]  # two blocks or one
+    docs = spark.createDataFrame([(k, f"host{i:04d}") for k, i in enumerate(i for i, m in enumerate(n) for _ in range(m))], "doc_id long, source string")
+    docs.write.parquet(f"file://{tmp_path}/documents.parquet")
+    out = queries.op4_mix_sources(spark, f"file://{tmp_path}").collect()
+    want = mixing.schedule([-(-m // 64) for m in n], [m**0.5 for m in n])
+    assert sorted({(r.phase_slot, r.source, r.block) for r in out}) == [(k, f"host{i:04d}", b) for k, (i, b) in enumerate(want)]
+    assert len(out) == sum(n) == len({r.position for r in out})
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 3), st.sampled_from([0.0, 1.0, 1.5, 2.0, 1e-9, 1e9])), min_size=20, max_size=40))
+def test_schedule_of_many_short_sources_against_fractions(sources):
+    blocks, weights = zip(*sources, strict=True)
+    assert mixing.schedule(list(blocks), list(weights)) == brute_schedule(blocks, weights)
+
+
 # sharding ------------------------------------------------------------------
 
 
