@@ -17,13 +17,26 @@ def rle_decode(counts: Column) -> Column:
 
 
 def rle_encode(pixels: Column) -> Column:
-    """Counts of runs; the first run is of zeros and may be empty. No pixels give no runs."""
-    n = F.size(pixels)
-    change = F.filter(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: (i < n) & (F.get(pixels, i).cast("int") != F.get(pixels, i - 1).cast("int")))
-    ends = F.concat(change, F.array(n))
-    runs = F.transform(ends, lambda e, i: e - F.coalesce(F.get(change, i - 1), F.lit(0)))
-    zero = F.when(F.get(pixels, F.lit(0)).cast("int") == 1, F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
-    return F.when(n > 0, F.concat(zero, runs)).otherwise(F.array().cast("array<int>"))
+    """Counts of runs; the first run is of zeros and may be empty. No pixels give no runs.
+
+    Pixels and the places where they change are bound to variables of lambdas: a lambda's body
+    runs for each element, and expressions in it that don't depend on the element with it.
+    """
+    none = F.array().cast("array<int>")
+
+    def counts(p: Column) -> Column:
+        changes = F.array_compact(F.transform(p, lambda v, i: F.when(v.cast("int") != F.get(p, i - 1).cast("int"), i)))
+        ends = _bound(changes, lambda c: F.concat(F.array(F.lit(0)), c, F.array(F.size(p))))
+        runs = _bound(ends, lambda e: F.zip_with(F.slice(e, 2, F.size(e) - 1), F.slice(e, 1, F.size(e) - 1), lambda b, a: b - a))
+        zero = F.when(F.get(p, F.lit(0)).cast("int") == 1, F.array(F.lit(0))).otherwise(none)
+        return F.when(F.size(p) > 0, F.concat(zero, runs)).otherwise(none)
+
+    return _bound(pixels, counts)
+
+
+def _bound(value: Column, body) -> Column:
+    """``body`` of ``value``, which is evaluated once."""
+    return F.transform(F.array(value), body)[0]
 
 
 def rle_box(counts: Column, height) -> Column:

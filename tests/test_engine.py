@@ -2,6 +2,7 @@
 
 import json
 import os
+import time
 
 import numpy as np
 import pytest
@@ -245,6 +246,13 @@ def test_profiles(spark, tmp_path):
     assert rows(got, "profile") == [("a.json",), (None,), (None,)]
 
 
+def test_runs_take_time_by_the_pixels(spark):
+    pixels = F.transform(F.sequence(F.lit(0), F.lit(599)), lambda i: (i % 3 == 0).cast("int"))
+    began = time.time()
+    got = spark.range(1).select(M.rle_encode(pixels).alias("r")).first().r
+    assert got == [0] + [1, 2] * 200 and time.time() - began < 20
+
+
 def test_report_and_exports(spark, tmp_path):
     job = str(tmp_path)
     frames = [(i, i / 10, 0.1, f"{i:08d}.jpg") for i in range(4)]
