@@ -246,6 +246,22 @@ def test_profiles(spark, tmp_path):
     assert rows(got, "profile") == [("a.json",), (None,), (None,)]
 
 
+def test_a_stream_meets_one_row_of_the_profiles_that_it_fits(spark):
+    known = spark.range(300).select(F.col("id").alias("profile"), F.array(F.lit("Cam"), F.lit("cam "), F.lit(None).cast("string")).alias("aliases"), F.lit(4).alias("width"), F.lit(3).alias("height"), F.when(F.col("id") > 9, F.when(F.col("id") % 7 != 0, 20 + F.col("id") % 7 / 20.0)).alias("fps"))
+    known = known.union(known.where("profile in (11, 16)").selectExpr("profile + 290", "array('other')", "width", "height", "if(profile = 11, 0.0D, 25.0D)"))
+    rates = [0.0, None, 20.05, 20.2, 20.4, 20.41, 25.05, 26.0]
+    data = [(k % 3, name, 4, 3, f) for k, (name, f) in enumerate((n, f) for n in (" CAM", "Other", "none", None) for f in rates)] + [(None, "cam", 4, 3, 20.3), (1, "cam", 5, 3, 0.0)]
+    streams = spark.createDataFrame(data * 30, "s int, camera string, width int, height int, fps double")
+    facts = [(r.profile, {n.strip().lower() for n in r.aliases if n}, r.width, r.height, r.fps) for r in known.collect()]
+    want = []
+    for s, camera, w, h, f in data * 30:
+        fits = [p for p, names, pw, ph, pf in facts if camera and camera.strip().lower() in names and (pw, ph) == (w, h) and (not f or (pf is not None and (pf == 0 or abs(f - pf) <= 0.1)))]
+        want.append((s, camera, w, h, f, min(fits, default=None)))
+    out = profiles.match_profiles(streams, known, ["s"])
+    assert out.columns == ["s", "camera", "width", "height", "fps", "profile"]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(want, key=str)  # rows that repeat their keys have profiles of their own
+
+
 def test_runs_take_time_by_the_pixels(spark):
     pixels = F.transform(F.sequence(F.lit(0), F.lit(599)), lambda i: (i % 3 == 0).cast("int"))
     began = time.time()
