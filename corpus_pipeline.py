@@ -41,7 +41,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of the mixture."""
-    return mixing.mixed(docs)
+    return mixing.mixed(docs, most=None)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,7 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Files keep no order, and stages hand on the columns of ``documents`` alone, so the position
     is computed again: it is a fixed function of the rows.
     """
-    placed = mixing.scheduled(docs).select("doc_id", "lang", "source", "position", "text")
+    placed = mixing.scheduled(docs, most=None).select("doc_id", "lang", "source", "position", "text")
     out = pieces.encoded(placed, queries.piece_model())
     return out.withColumn("n_tokens", F.size("ids").cast("long"))
 

@@ -76,6 +76,14 @@ def test_stages_on_odd_rows(spark, tmp_path):
         assert docs.count() == 0 if rows == [] else docs.count() > 8
 
 
+def test_the_mixture_has_every_source_of_very_many(spark):
+    names = [f"host{i:04d}" for i in range(2101)]
+    docs = spark.createDataFrame([(i, "word", "en", s, 4) for i, s in enumerate(names)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert [r.source for r in corpus_pipeline.mix_sources(spark, docs, "").collect()] == names
+    got = corpus_pipeline.encode_pieces(spark, docs, "").select("source", "position").collect()
+    assert [r.source for r in sorted(got, key=lambda r: r.position)] == names
+
+
 def test_run_keeps_the_mixture_over_part_files(spark, tmp_path):
     sizes = {"a": 600, "b": 300, "c": 100}
     rows = [(i, prose(i, 20), "en", s) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
