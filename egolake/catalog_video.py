@@ -37,8 +37,9 @@ def _grids(spark, sf_dir):
     cells = rows.groupBy(F.col("user_id").alias("track")).agg(F.collect_set((F.col("event_id") * 7 % (HEIGHT * WIDTH)).cast("int")).alias("cells"))
 
     def counts(flip: bool):
-        place = lambda i: ((HEIGHT - 1 - i % HEIGHT) if flip else i % HEIGHT) * WIDTH + F.floor(i / HEIGHT)
-        return M.rle_encode(F.transform(F.sequence(F.lit(0), F.lit(HEIGHT * WIDTH - 1)), lambda i: F.array_contains("cells", place(i).cast("int")).cast("int")))
+        row = lambda c: F.floor(c / WIDTH)
+        places = F.transform(F.filter("cells", lambda c: c >= 0), lambda c: (c % WIDTH * HEIGHT + (HEIGHT - 1 - row(c) if flip else row(c))).cast("int"))
+        return M.rle_from_places(places, HEIGHT * WIDTH)
 
     return cells.select("track", counts(False).alias("counts"), counts(True).alias("flipped"), F.lit(HEIGHT).alias("height"), F.lit(WIDTH).alias("width"))
 

@@ -26,14 +26,35 @@ def rle_encode(pixels: Column) -> Column:
 
     def counts(p: Column) -> Column:
         changes = F.array_compact(F.transform(p, lambda v, i: F.when(v.cast("int") != F.get(p, i - 1).cast("int"), i)))
-        ends = _bound(changes, lambda c: F.concat(F.array(F.lit(0)), c, F.array(F.size(p))))
-        runs = _bound(ends, lambda e: F.zip_with(F.slice(e, 2, F.size(e) - 1), F.slice(e, 1, F.size(e) - 1), lambda b, a: b - a))
+        runs = _lengths(_bound(changes, lambda c: F.concat(F.array(F.lit(0)), c, F.array(F.size(p)))))
         zero = F.when(F.get(p, F.lit(0)).cast("int") == 1, F.array(F.lit(0))).otherwise(none)
         return F.when(F.size(p) > 0, F.concat(zero, runs)).otherwise(none)
 
     return _bound(pixels, counts)
 
 
+def rle_from_places(places: Column, size: int) -> Column:
+    """Counts of runs of a mask of ``size`` pixels, from the places (column-major, from 0, in any order) of those that are set.
+
+    As ``rle_encode`` of its pixels, in time by the set pixels. Places outside of the mask count for nothing.
+    """
+    none = F.array().cast("array<int>")
+
+    def edges(p: Column) -> Column:
+        first = lambda v, i: F.when((i == 0) | (F.get(p, i - 1) != v - 1), F.array(v)).otherwise(none)
+        past = lambda v, i: F.when((i == F.size(p) - 1) | (F.get(p, i + 1) != v + 1), F.array(v + 1)).otherwise(none)
+        return F.flatten(F.transform(p, lambda v, i: F.concat(first(v, i), past(v, i))))
+
+    known = F.sort_array(F.array_distinct(F.filter(places, lambda v: (v >= 0) & (v < size)))).cast("array<int>")
+    rest = lambda e: F.when(F.coalesce(F.get(e, F.size(e) - 1), F.lit(0)) < size, F.array(F.lit(size))).otherwise(none)
+    return _lengths(_bound(_bound(known, edges), lambda e: F.concat(F.array(F.lit(0)), e, rest(e))))
+
+
+def _lengths(ends: Column) -> Column:
+    """From each place to the next."""
+    return _bound(ends, lambda e: F.zip_with(F.slice(e, 2, F.size(e) - 1), F.slice(e, 1, F.size(e) - 1), lambda b, a: b - a))
+
+
 def _bound(value: Column, body) -> Column:
     """``body`` of ``value``, which is evaluated once."""
     return F.transform(F.array(value), body)[0]

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__
 from egolake.functions import geometry as G
 from egolake.functions import masks as M
 from egolake.functions import values as V
@@ -269,6 +270,36 @@ def test_runs_take_time_by_the_pixels(spark):
     assert got == [0] + [1, 2] * 200 and time.time() - began < 20
 
 
+def test_runs_from_places(spark):
+    rng = np.random.default_rng(2)
+    for size in (0, 1, 2, 35):
+        data = []
+        for share in (0, 0.1, 0.5, 0.9, 1):
+            mask = rng.random(size) < share
+            places = rng.permutation(np.flatnonzero(mask)).tolist()
+            data.append((places + places[:2] + [-1, size, size + 3], kernels.encode_rle(mask.reshape(-1, 1))))
+        got = spark.createDataFrame(data, "places array<long>, counts array<int>").select("counts", M.rle_from_places(F.col("places"), size).alias("r")).collect()
+        assert [r.r for r in got] == [r.counts for r in got]
+    one = spark.range(1).select(M.rle_from_places(F.array(F.lit(7), F.lit(10**8), F.lit(8)), 10**9).alias("r"), M.rle_from_places(F.lit(None).cast("array<int>"), 4).alias("n")).first()
+    assert one.r == [7, 2, 10**8 - 9, 1, 9 * 10**8 - 1] and one.n is None
+
+
+@pytest.mark.parametrize("name", ["mask_corners"])
+def test_mask_queries_on_sparse_and_full_masks(spark, tmp_path, name):
+    import duckdb
+
+    con, path = duckdb.connect(), str(tmp_path / "events.parquet")
+    con.execute("CREATE VIEW events AS SELECT u * 1000 + e AS event_id, u AS user_id, 95.0::DOUBLE AS value FROM range(64) a(u), range(192) b(e) WHERE e < 3 * (u + 1) UNION ALL SELECT 0, 0, 95.0 UNION ALL SELECT 5, 99, 90.0")
+    con.execute(f"COPY events TO '{path}' (FORMAT parquet)")
+    began = time.time()
+    got = __spark_entry__.queries()[name](spark, str(tmp_path))
+    found, taken = {r.track: r.asDict() for r in got.collect()}, time.time() - began
+    want = con.execute(__spark_entry__.oracle_sql()[name])
+    names = [c[0] for c in want.description]
+    assert found == {r["track"]: r for r in (dict(zip(names, r, strict=True)) for r in want.fetchall())} and len(found) == 64
+    assert taken < 20
+
+
 def test_report_and_exports(spark, tmp_path):
     job = str(tmp_path)
     frames = [(i, i / 10, 0.1, f"{i:08d}.jpg") for i in range(4)]
