@@ -284,7 +284,7 @@ def test_runs_from_places(spark):
     assert one.r == [7, 2, 10**8 - 9, 1, 9 * 10**8 - 1] and one.n is None
 
 
-@pytest.mark.parametrize("name", ["mask_corners", "mask_fuse", "mask_logic"])
+@pytest.mark.parametrize("name", ["mask_corners", "mask_fuse", "mask_logic", "mask_union"])
 def test_mask_queries_on_sparse_and_full_masks(spark, tmp_path, name):
     import duckdb
 
