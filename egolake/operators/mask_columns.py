@@ -6,34 +6,75 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from ..functions.values import PALETTE
 from . import images, kernels
 
 
-def by_row(df: DataFrame, inputs: Sequence[str], result: str, kernel: Callable[..., tuple]) -> DataFrame:
-    """``df`` with the columns ``result`` (DDL) that ``kernel`` makes of each row's ``inputs``, in Arrow batches.
+def by_batch(df: DataFrame, inputs: Sequence[str], result: str, kernel: Callable[..., Sequence[pa.Array]]) -> DataFrame:
+    """``df`` with the columns ``result`` (DDL) that ``kernel`` makes of the ``inputs`` of each Arrow batch.
 
     Columns of those names are replaced.
     """
     added = StructType.fromDDL(result)
     kept = [c for c in df.columns if c not in added.fieldNames()]
-    rows = df.select(*kept, *(df[c].alias(f"_in{i}") for i, c in enumerate(inputs)))
-    kinds, n = [to_arrow_type(f.dataType) for f in added.fields], len(kept)
+    more = [c for c in dict.fromkeys(inputs) if c not in kept]  # others are sent once
+    rows = df.select(*kept, *(df[c].alias(f"_in{i}") for i, c in enumerate(more)))
+    at, n = [(kept + more).index(c) for c in inputs], len(kept)
     names = [*kept, *added.fieldNames()]
 
     def run(batches):
         for b in batches:
-            got = [kernel(*values) for values in zip(*(c.to_pylist() for c in b.columns[n:]), strict=True)]
-            more = list(zip(*got, strict=True)) or [()] * len(kinds)
-            yield pa.RecordBatch.from_arrays([*b.columns[:n], *(pa.array(c, k) for c, k in zip(more, kinds, strict=True))], names=names)
+            yield pa.RecordBatch.from_arrays([*b.columns[:n], *kernel(*(b.column(i) for i in at))], names=names)
 
     return rows.mapInArrow(run, StructType([*df.select(*kept).schema.fields, *added.fields]))
 
 
+def by_row(df: DataFrame, inputs: Sequence[str], result: str, kernel: Callable[..., tuple]) -> DataFrame:
+    """``df`` with the columns ``result`` (DDL) that ``kernel`` makes of each row's ``inputs``, in Arrow batches.
+
+    Columns of those names are replaced.
+    """
+    kinds = [to_arrow_type(f.dataType) for f in StructType.fromDDL(result).fields]
+
+    def run(*columns):
+        got = [kernel(*values) for values in zip(*(c.to_pylist() for c in columns), strict=True)]
+        more = list(zip(*got, strict=True)) or [()] * len(kinds)
+        return [pa.array(c, k) for c, k in zip(more, kinds, strict=True)]
+
+    return by_batch(df, inputs, result, run)
+
+
+COUNTS = to_arrow_type(ArrayType(IntegerType()))
+
+
+def _line(height: pa.Array, width: pa.Array) -> kernels.Line:
+    if height.null_count or width.null_count:
+        raise ValueError("a mask without a size")
+    return kernels.Line(height.to_numpy(zero_copy_only=False), width.to_numpy(zero_copy_only=False))
+
+
+def _spans(line: kernels.Line, masks: pa.Array, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans of masks of the given rows; a null mask has none."""
+    known, counts = masks.is_valid().to_numpy(zero_copy_only=False), masks.flatten()
+    if counts.null_count:
+        raise ValueError("a run without a length")
+    return line.spans(counts.to_numpy(zero_copy_only=False), _numbers(masks)[known], row[known])
+
+
+def _numbers(lists: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _counts(values: np.ndarray, number: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(number)])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()), type=COUNTS)
+
+
 def _mask(counts, height, width) -> np.ndarray | None:
     return None if counts is None else kernels.decode_rle(counts, height, width)
 
@@ -79,10 +120,13 @@ def combined_masks(df: DataFrame, first: str, second: str, height: str = "height
     """Adds both (pixels of both masks), either, only_first and neither, as counts. A null mask is empty."""
 
     def kernel(a, b, h, w):
-        a, b = (np.zeros((h, w), bool) if c is None else _mask(c, h, w) for c in (a, b))
-        return tuple(kernels.encode_rle(m) for m in (a & b, a | b, a & ~b, ~(a | b)))
+        line, row = _line(h, w), np.arange(len(h))
+        a, b = _spans(line, a, row), _spans(line, b, row)
+        places = line.places(*a, *b)
+        a, b = kernels.covered(places, *a), kernels.covered(places, *b)
+        return [_counts(*line.runs(places, on)[:2]) for on in (a & b, a | b, a & ~b, ~(a | b))]
 
-    return by_row(df, [first, second, height, width], "both array<int>, either array<int>, only_first array<int>, neither array<int>", kernel)
+    return by_batch(df, [first, second, height, width], "both array<int>, either array<int>, only_first array<int>, neither array<int>", kernel)
 
 
 def packed_masks(df: DataFrame, counts: str = "counts", height: str = "height", width: str = "width") -> DataFrame:

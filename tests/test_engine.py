@@ -13,7 +13,7 @@ from egolake.functions import geometry as G
 from egolake.functions import masks as M
 from egolake.functions import values as V
 from egolake.models import StubBackend, candidates, depth_rows, tracked
-from egolake.operators import anchors, depth, folds, hands, kernels, quality, selection, sequence, tracks
+from egolake.operators import anchors, depth, folds, hands, kernels, mask_columns, quality, selection, sequence, tracks
 from egolake.plans import commands
 from egolake.plans.stages import ProcessConfig, Stages, progress, resumed, reusable_frames, run_plan
 from egolake.sources import exports, media, profiles, tables
@@ -299,6 +299,35 @@ def test_mask_queries_on_sparse_and_full_masks(spark, tmp_path, name):
     assert found == {r["track"]: r for r in (dict(zip(names, r, strict=True)) for r in want.fetchall())} and len(found) == 64
 
 
+def spread(height, width, n, shift):
+    """Counts of a mask of n runs of 5 pixels."""
+    step = height * width // n
+    return [shift, 5] + [step - 5, 5] * (n - 1) + [step - 5 - shift + height * width % n]
+
+
+SOME = [None, [0, 6], [6], [1, 2, 3], [0, 1, 0, 2, 1, 0, 0, 1, 1], [2, 0, 0, 4]]
+
+
+def drawn(counts, height, width):
+    return np.zeros((height, width), bool) if counts is None else kernels.decode_rle(counts, height, width)
+
+
+def test_masks_are_combined_by_their_runs(spark):
+    data = [(a, b, 2, 3) for a in SOME for b in SOME] + [([], None, 0, 4), ([7, 1], [0, 8], 8, 1)]
+    got = mask_columns.combined_masks(spark.createDataFrame(data, "a array<int>, b array<int>, h int, w int").coalesce(1), "a", "b", "h", "w").collect()
+    for a, b, h, w, *found in got:
+        x, y = drawn(a, h, w), drawn(b, h, w)
+        assert found == [kernels.encode_rle(m) for m in (x & y, x | y, x & ~y, ~(x | y))]
+    assert len(got) == len(data)
+    with pytest.raises(Exception, match="ValueError"):
+        mask_columns.combined_masks(spark.createDataFrame([([5], [6], 2, 3)], "a array<int>, b array<int>, h int, w int"), "a", "b", "h", "w").collect()
+    h, w = 20_000, 10_000
+    large = spark.createDataFrame([(i, spread(h, w, 1000, 0), spread(h, w, 1000, 3), h, w) for i in range(40)], "id int, a array<int>, b array<int>, h int, w int").coalesce(1)
+    began = time.time()
+    out = mask_columns.combined_masks(large, "a", "b", "h", "w").select("id", *(M.rle_area(F.col(c)) for c in ("both", "either", "only_first", "neither"))).collect()
+    assert sorted(map(tuple, out)) == [(i, 2000, 8000, 3000, h * w - 8000) for i in range(40)] and time.time() - began < 20
+
+
 def test_report_and_exports(spark, tmp_path):
     job = str(tmp_path)
     frames = [(i, i / 10, 0.1, f"{i:08d}.jpg") for i in range(4)]
