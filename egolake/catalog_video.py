@@ -60,7 +60,7 @@ def mask_fuse(spark, sf_dir):
 
 @query(f"WITH {_CELLS_SQL}, un AS (SELECT * FROM ce UNION SELECT track, {HEIGHT - 1} - y, x FROM ce) SELECT track, count(*) AS area FROM un GROUP BY 1")
 def mask_union(spark, sf_dir):
-    rows = _grids(spark, sf_dir).withColumn("masks", F.array("counts", "flipped", F.lit(None).cast("array<int>")))
+    rows = _grids(spark, sf_dir).select("track", F.array("counts", "flipped", F.lit(None).cast("array<int>")).alias("masks"), "height", "width")
     return mask_columns.union_masks(rows).select("track", "area")
 
 

@@ -107,13 +107,13 @@ def union_masks(df: DataFrame, masks: str = "masks", height: str = "height", wid
     """Adds counts and area: pixels that any of a row's masks (an array of counts) has. Null and no masks are empty."""
 
     def kernel(some, h, w):
-        out = np.zeros((h, w), bool)
-        for c in some or ():
-            if c is not None:
-                out |= _mask(c, h, w)
-        return kernels.encode_rle(out), int(out.sum())
+        line = _line(h, w)
+        spans = _spans(line, some.flatten(), np.repeat(np.arange(len(h)), _numbers(some)))
+        places = line.places(*spans)
+        counts, number, area = line.runs(places, kernels.covered(places, *spans))
+        return [_counts(counts, number), pa.array(area, pa.int64())]
 
-    return by_row(df, [masks, height, width], "counts array<int>, area bigint", kernel)
+    return by_batch(df, [masks, height, width], "counts array<int>, area bigint", kernel)
 
 
 def combined_masks(df: DataFrame, first: str, second: str, height: str = "height", width: str = "width") -> DataFrame:

@@ -328,6 +328,20 @@ def test_masks_are_combined_by_their_runs(spark):
     assert sorted(map(tuple, out)) == [(i, 2000, 8000, 3000, h * w - 8000) for i in range(40)] and time.time() - began < 20
 
 
+def test_unions_are_made_by_runs(spark):
+    data = [(m, 2, 3) for m in (None, [], [None], SOME, SOME[2:4], SOME[3:6], [[0, 6], [0, 6]])] + [([[7, 1], [1, 1, 6]], 8, 1), ([[]], 0, 4)]
+    got = mask_columns.union_masks(spark.createDataFrame(data, "masks array<array<int>>, height int, width int").coalesce(1)).collect()
+    for masks, h, w, counts, area in got:
+        mask = np.logical_or.reduce([np.zeros((h, w), bool), *(drawn(m, h, w) for m in masks or ())])
+        assert (counts, area) == (kernels.encode_rle(mask), int(mask.sum()))
+    assert len(got) == len(data)
+    h, w = 20_000, 10_000
+    large = spark.createDataFrame([(i, [spread(h, w, 1000, k) for k in (0, 3, 5, 40)], h, w) for i in range(60)], "id int, masks array<array<int>>, height int, width int").coalesce(1)
+    began = time.time()
+    out = mask_columns.union_masks(large).select("id", "area", F.size("counts").alias("n")).collect()
+    assert sorted(map(tuple, out)) == [(i, 15_000, 4001) for i in range(60)] and time.time() - began < 20
+
+
 def test_report_and_exports(spark, tmp_path):
     job = str(tmp_path)
     frames = [(i, i / 10, 0.1, f"{i:08d}.jpg") for i in range(4)]
