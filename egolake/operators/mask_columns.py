@@ -79,6 +79,28 @@ def _mask(counts, height, width) -> np.ndarray | None:
     return None if counts is None else kernels.decode_rle(counts, height, width)
 
 
+#: Pixels that are drawn at once, beyond those of one mask.
+DRAWN = 1 << 24
+
+
+def _by_size(values: pa.Array, height: pa.Array, width: pa.Array, more: Sequence[pa.Array], kernel: Callable[..., pa.Array], kind: pa.DataType) -> pa.Array:
+    """What ``kernel`` makes of values of one size at once, in the order of the rows. Nulls stay."""
+    known = np.flatnonzero(values.is_valid())
+    if any(c.take(pa.array(known)).null_count for c in (height, width)):
+        raise ValueError("a mask without a size")
+    keys = np.array([c.take(pa.array(known)).to_numpy(zero_copy_only=False) for c in (height, width, *more)], np.int64)
+    sizes, size = np.unique(keys, axis=1, return_inverse=True)
+    order = np.argsort(size.ravel(), kind="stable")
+    ends, parts = np.cumsum(np.bincount(size.ravel(), minlength=sizes.shape[1])), [pa.array([], kind)]
+    for (high, wide, *rest), group in zip(sizes.T.tolist(), np.split(order, ends[:-1]) if len(known) else [], strict=True):
+        step = max(1, DRAWN // max(1, high * wide))
+        for at in range(0, len(group), step):
+            parts.append(kernel(values.take(pa.array(known[group[at : at + step]])), high, wide, *rest))
+    place = np.full(len(values), -1)
+    place[known[order]] = np.arange(len(known))
+    return pa.concat_arrays(parts).take(pa.array(place, mask=place < 0))
+
+
 def primary_components(df: DataFrame, counts: str = "counts", height: str = "height", width: str = "width") -> DataFrame:
     """The largest part of each mask (parts bridge gaps of a pixel or two) in place of it, and component_fraction."""
 
@@ -131,12 +153,30 @@ def combined_masks(df: DataFrame, first: str, second: str, height: str = "height
 
 def packed_masks(df: DataFrame, counts: str = "counts", height: str = "height", width: str = "width") -> DataFrame:
     """Adds packed: the bits of each mask, row by row, each row filled up to whole bytes."""
-    return by_row(df, [counts, height, width], "packed binary", lambda c, h, w: (None if c is None else kernels.packed(_mask(c, h, w)),))
+    def kernel(c, h, w):
+        def drawn(some: pa.Array, high: int, wide: int) -> pa.Array:
+            line = kernels.Line(np.full(len(some), high), np.full(len(some), wide))
+            mask = line.drawn(*_spans(line, some, np.arange(len(some)))).reshape(len(some), wide, high).transpose(0, 2, 1)
+            return pa.array([m.tobytes() for m in np.packbits(mask, axis=2)], pa.binary())
+
+        return [_by_size(c, h, w, [], drawn, pa.binary())]
+
+    return by_batch(df, [counts, height, width], "packed binary", kernel)
 
 
 def unpacked_masks(df: DataFrame, packed: str = "packed", height: str = "height", width: str = "width") -> DataFrame:
     """Adds counts: what ``packed_masks`` packed."""
-    return by_row(df, [packed, height, width], "counts array<int>", lambda p, h, w: (None if p is None else kernels.encode_rle(kernels.unpacked(p, h, w)),))
+    def kernel(p, h, w):
+        def runs(some: pa.Array, high: int, wide: int, _) -> pa.Array:
+            line = kernels.Line(np.full(len(some), high), np.full(len(some), wide))
+            data = np.frombuffer(b"".join(some.to_pylist()), np.uint8).reshape(len(some), high, -1)
+            pixels = np.unpackbits(data, axis=2, count=wide).transpose(0, 2, 1).ravel().astype(bool)
+            places = line.places(np.flatnonzero(pixels[1:] != pixels[:-1]) + 1)
+            return _counts(*line.runs(places, pixels[places])[:2])
+
+        return [_by_size(p, h, w, [pc.binary_length(p)], runs, COUNTS)]
+
+    return by_batch(df, [packed, height, width], "counts array<int>", kernel)
 
 
 def rescaled_masks(df: DataFrame, to_height: str, to_width: str, counts: str = "counts", height: str = "height", width: str = "width") -> DataFrame:

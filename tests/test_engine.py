@@ -342,6 +342,29 @@ def test_unions_are_made_by_runs(spark):
     assert sorted(map(tuple, out)) == [(i, 15_000, 4001) for i in range(60)] and time.time() - began < 20
 
 
+def test_masks_are_packed_a_batch_at_once(spark, monkeypatch):
+    data = [(m, 2, 3) for m in SOME] + [([1, 2, 33], 4, 9), ([0, 40], 4, 10), (None, 7, 7), ([7, 1], 8, 1), ([35, 1], 4, 9), (None, None, None)]
+    df = spark.createDataFrame(data, "counts array<int>, height int, width int").coalesce(1)
+    for most in (1 << 24, 40):
+        monkeypatch.setattr(mask_columns, "DRAWN", most, raising=False)
+        got = mask_columns.packed_masks(df).collect()
+        assert [tuple(r[:3]) for r in got] == data and [r.packed and bytes(r.packed) for r in got] == [c and kernels.packed(drawn(c, h, w)) for c, h, w in data]
+        back = mask_columns.unpacked_masks(mask_columns.packed_masks(df)).collect()
+        assert [r.counts for r in back] == [c and kernels.encode_rle(drawn(c, h, w)) for c, h, w in data]
+    counts = kernels.encode_rle(np.random.default_rng(3).random((12, 16)) < 0.06)
+    many = spark.range(0, 300_000, 1, 1).select(F.array(*map(F.lit, counts)).alias("counts"), F.lit(12).alias("height"), F.lit(16).alias("width"))
+
+    def taken(out):
+        began = time.time()
+        assert out.where("counts = before").count() == 300_000
+        return time.time() - began
+
+    many = many.withColumn("before", F.col("counts"))
+    singly = mask_columns.by_row(many, ["counts", "height", "width"], "packed binary", lambda c, h, w: (kernels.packed(kernels.decode_rle(c, h, w)),))
+    singly = mask_columns.by_row(singly, ["packed", "height", "width"], "counts array<int>", lambda p, h, w: (kernels.encode_rle(kernels.unpacked(p, h, w)),))
+    assert taken(mask_columns.unpacked_masks(mask_columns.packed_masks(many))) < 0.7 * taken(singly)
+
+
 def test_report_and_exports(spark, tmp_path):
     job = str(tmp_path)
     frames = [(i, i / 10, 0.1, f"{i:08d}.jpg") for i in range(4)]
